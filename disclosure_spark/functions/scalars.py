@@ -24,7 +24,7 @@ def name_suffixes(name: Column) -> Column:
 
     Leading dots belong to the stem, and a name ending in a dot has no suffix.
     """
-    suffix = F.regexp_extract(base_name(name), r"(?s)^[.]*[^.]*([.].*)$", 1)
+    suffix = F.regexp_extract(base_name(name), r"(?s)^[.]*+[^.]*+([.].*)$", 1)
     return F.when(name.endswith("."), F.lit("")).otherwise(suffix)
 
 

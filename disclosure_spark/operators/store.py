@@ -77,15 +77,17 @@ def refused_rows(df: DataFrame) -> DataFrame:
     return df.filter(refused)
 
 
-_IDENTIFIER = re.compile(r"[A-Za-z0-9_-]+")
+_IDENTIFIER = re.compile(r"[A-Za-z0-9_]+")
 
 
 def quoted(table: str) -> str:
-    """A possibly qualified table name, checked and in backticks."""
-    parts = table.split(".")
-    for part in parts:
-        if not _IDENTIFIER.fullmatch(part):
-            raise ValueError(f"not a table name: {table!r}")
+    """A possibly qualified table name, checked and in backticks.
+
+    Spark's catalog allows no hyphen in a name; it becomes an underscore.
+    """
+    parts = table.replace("-", "_").split(".")
+    if not all(_IDENTIFIER.fullmatch(part) for part in parts):
+        raise ValueError(f"not a table name: {table!r}")
     return ".".join(f"`{part}`" for part in parts)
 
 
@@ -113,9 +115,11 @@ def _literal(text: str) -> str:
 def replace_table_partitions(df: DataFrame, table: str) -> None:
     """Like :func:`replace_partitions`, for a table made by :func:`create_table`."""
     names = [c.name for c in TABLE_COLUMNS] + [PARTITION_COLUMN]
-    (
-        df.select(*names)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(quoted(table))
-    )
+    # Inserting into a catalog table takes the mode from the session, not from the writer.
+    conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    mode = conf.get(key)
+    conf.set(key, "dynamic")
+    try:
+        df.select(*names).write.mode("overwrite").insertInto(quoted(table))
+    finally:
+        conf.set(key, mode)

@@ -1,15 +1,18 @@
-"""The two batch jobs: documents to flat Parquet, flat Parquet to the typed table."""
+"""The batch jobs: listing to raw files, raw files to flat Parquet, flat Parquet to the table."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.blobs import mark_landed, plan_downloads, status_counts
 from ..operators.flatten import flatten
+from ..operators.landing import fetch
 from ..operators.quality import (
     EmptyResultError,
     NoDocumentsError,
@@ -20,6 +23,7 @@ from ..operators.quality import (
 )
 from ..operators.store import (
     cluster_by_date,
+    quoted,
     replace_partitions,
     replace_table_partitions,
     to_table_rows,
@@ -27,10 +31,61 @@ from ..operators.store import (
 )
 from ..schemas import CORRUPT_COLUMN, FLAT_NAMES, PARTITION_COLUMN
 from ..sources.documents import read_index_documents
+from ..sources.listing import read_landed, read_listing
 from ..sources.tables import read_index_files
 from ..workspace import run_path
 
 
+def extract(
+    spark: SparkSession,
+    listing_url: str,
+    root: str,
+    *,
+    source: str,
+    file_type: str,
+    max_files: int,
+    max_size: int | None = None,
+    suffix: str | None = None,
+    headers: Mapping[str, str] | None = None,
+    tasks: int | None = None,
+) -> dict[str, int]:
+    """Land the planned blobs of a listing below ``root``; skip those already there.
+
+    Returns the files downloaded, skipped and failed. A run that was stopped or
+    had failures is taken up again by running it once more.
+    """
+    run = run_path(spark, "extract")
+    one = spark.createDataFrame([("listing.json", listing_url)], "path string, downloadUrl string")
+    saved = fetch(one, run, f"{run}/listing_report", tasks=1, headers=headers).first()
+    if saved["status"] == "failed":
+        raise OSError(f"no listing from {listing_url}: {saved['error']}")
+
+    plan = plan_downloads(
+        read_listing(spark, f"{run}/listing.json"),
+        source=source,
+        file_type=file_type,
+        max_files=max_files,
+        max_size=max_size,
+        suffix=suffix,
+    )
+    folder = f"{source}/{file_type}"
+    store, base = FileSystem.from_uri(root)
+    store.create_dir(f"{base}/{folder}", recursive=True)
+    # Stored once: the statuses decide what is fetched and are counted afterwards,
+    # when the files they were compared with have changed.
+    marked_path = f"{run}/marked"
+    mark_landed(plan, read_landed(spark, f"{root.rstrip('/')}/{folder}")).write.parquet(marked_path)
+    marked = spark.read.parquet(marked_path)
+
+    pending = marked.filter(F.col("status") == "pending")
+    fetched = fetch(pending, root, f"{run}/report", tasks=tasks, headers=headers)
+    statuses = fetched.select("status").unionAll(
+        marked.filter(F.col("status") == "skipped").select("status")
+    )
+    counts = status_counts(statuses, ("downloaded", "skipped", "failed"))
+    return {row["status"]: row["files"] for row in counts.collect()}
+
+
 @dataclass(frozen=True)
 class TransformResult:
     """Counts of one transform run."""
@@ -126,7 +181,7 @@ def load(
     rows = to_table_rows(source, loaded_at)
     if table is not None:
         replace_table_partitions(rows, table)
-        loaded = spark.table(table)
+        loaded = spark.table(quoted(table))
     else:
         replace_partitions(rows, target)
         loaded = spark.read.parquet(target)

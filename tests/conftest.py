@@ -18,7 +18,6 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
-        .config("spark.checkpoint.dir", str(work / "checkpoints"))
         .config("spark.sql.warehouse.dir", str(work / "warehouse"))
         .getOrCreate()
     )
