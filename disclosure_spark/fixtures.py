@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators.blobs import SUFFIXES
-from .operators.flatten import flatten
 from .plans.jobs import load, write_flat
 from .workspace import run_path
 
@@ -135,32 +134,45 @@ def landed_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Stored:
-    """Paths of the stored documents, of their flat rows and of the loaded table."""
+    """Paths of the flat rows as the transform wrote them, and of the loaded table."""
 
-    documents: str
     processed: str
     table: str
 
 
+_documents: dict[tuple[str, str], str] = {}
 _stored: dict[tuple[str, str], Stored] = {}
-_lock = threading.Lock()
+_lock = threading.RLock()
+
+
+def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    return spark.sparkContext.applicationId, sf_dir
+
+
+def stored_documents(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the nested documents of a data folder, written once per application."""
+    key = _key(spark, sf_dir)
+    with _lock:
+        if key not in _documents:
+            path = run_path(spark, "documents")
+            make_index_docs(spark, sf_dir).write.parquet(path)
+            _documents[key] = path
+        return _documents[key]
 
 
 def stored(spark: SparkSession, sf_dir: str) -> Stored:
-    """Documents, flat rows and table of a data folder, written once per application.
+    """Flat rows and table of a data folder, written once per application.
 
     This is the life cycle of the data: flattened once, stored by date, queried
     many times with column and partition pruning. The tables lie in the shared
     folder, so they outlive any executor.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = _key(spark, sf_dir)
     with _lock:
         if key not in _stored:
             base = run_path(spark, "stored")
-            paths = Stored(f"{base}/documents", f"{base}/processed", f"{base}/index_files")
-            make_index_docs(spark, sf_dir).write.mode("overwrite").parquet(paths.documents)
-            documents = spark.read.parquet(paths.documents)
-            write_flat(flatten(documents, PROCESSED_AT), paths.processed)
+            paths = Stored(f"{base}/processed", f"{base}/index_files")
+            write_flat(index_docs(spark, sf_dir), paths.processed, PROCESSED_AT)
             load(spark, paths.processed, paths.table)
             _stored[key] = paths
         return _stored[key]
@@ -168,7 +180,7 @@ def stored(spark: SparkSession, sf_dir: str) -> Stored:
 
 def index_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored nested documents."""
-    return spark.read.parquet(stored(spark, sf_dir).documents)
+    return spark.read.parquet(stored_documents(spark, sf_dir))
 
 
 def processed_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 from ..functions.scalars import date_prefix
 from ..schemas import FLAT_COLUMNS
 
+# A structure is cut into blocks of this many plans by this many files at most.
+BLOCK = 10
+# Blocks of one structure, and structures of one document, that stay together.
+BLOCKS_TOGETHER = 1000
+STRUCTURES_TOGETHER = 100
+
 _DOCUMENT_COLUMNS = [
     "source_file",
     "reporting_entity_name",
@@ -31,16 +37,26 @@ def flatten(documents: DataFrame, processed_at: str | datetime) -> DataFrame:
     carries only the fields that the next one reads, so an exploded array is
     not copied to the rows it produced.
     """
-    if isinstance(processed_at, datetime):
-        processed_at = processed_at.isoformat()
     structures = documents.select(
         *_DOCUMENT_COLUMNS, F.explode("reporting_structure").alias("structure")
     )
-    plans = structures.select(
-        *_DOCUMENT_COLUMNS,
+    return _expand(structures.select(*_DOCUMENT_COLUMNS, *_structure_fields()), processed_at)
+
+
+def _structure_fields() -> list[Column]:
+    return [
+        F.col("structure.reporting_plans").alias("plans"),
         F.col("structure.in_network_files").alias("network_files"),
         F.col("structure.allowed_amount_file").alias("allowed_file"),
-        F.explode("structure.reporting_plans").alias("plan"),
+    ]
+
+
+def _expand(structures: DataFrame, processed_at: str | datetime) -> DataFrame:
+    """Plans times files of each structure, as flat rows."""
+    if isinstance(processed_at, datetime):
+        processed_at = processed_at.isoformat()
+    plans = structures.select(
+        *_DOCUMENT_COLUMNS, "network_files", "allowed_file", F.explode("plans").alias("plan")
     )
     combinations = plans.select(
         *_DOCUMENT_COLUMNS,
@@ -53,6 +69,63 @@ def flatten(documents: DataFrame, processed_at: str | datetime) -> DataFrame:
     return combinations.select(*[F.col(c.path).alias(c.name) for c in FLAT_COLUMNS])
 
 
+def flatten_by_date(
+    documents: DataFrame, processed_at: str | datetime, partitions: int | None = None
+) -> DataFrame:
+    """The rows of :func:`flatten`, brought together by date for a partitioned write.
+
+    What is shuffled are parts of structures, before plans and files multiply:
+    a fraction of the flat rows. The task that writes multiplies them.
+
+    The rebalance is AQE's: small dates share a task, and a large one is split
+    over as many as its size asks for
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes`` each). AQE goes by the
+    bytes shuffled, and it cannot split what comes from one input task. Hence
+    the blocks: a structure is cut into products of ``BLOCK`` plans by ``BLOCK``
+    files, which together give exactly its rows, so that no shuffled plan or
+    file stands for more than a few rows. And a document or structure that
+    exceeds the limits above goes to several partitions, however large it is.
+
+    ``partitions`` is the number of shuffle partitions AQE starts from.
+    """
+    structures = documents.select(
+        *_DOCUMENT_COLUMNS, F.posexplode("reporting_structure").alias("number", "structure")
+    )
+    sized = structures.select(
+        *_DOCUMENT_COLUMNS,
+        date_prefix("source_file").alias("date"),
+        F.floor(F.col("number") / STRUCTURES_TOGETHER).alias("structure_run"),
+        *_structure_fields(),
+        _blocks("structure.reporting_plans").alias("plan_blocks"),
+        _blocks("structure.in_network_files").alias("file_blocks"),
+    )
+    last = F.col("plan_blocks") * F.col("file_blocks") - 1
+    numbered = sized.select("*", F.explode(F.sequence(F.lit(0), last)).alias("block"))
+    plan_block = F.floor(F.col("block") / F.col("file_blocks"))
+    blocks = numbered.select(
+        *_DOCUMENT_COLUMNS,
+        "date",
+        "structure_run",
+        F.floor(F.col("block") / BLOCKS_TOGETHER).alias("block_run"),
+        "allowed_file",
+        _block("plans", plan_block),
+        _block("network_files", F.col("block") % F.col("file_blocks")),
+    )
+    start = [] if partitions is None else [partitions]
+    clustered = blocks.hint("rebalance", *start, "date", "structure_run", "block_run")
+    return _expand(clustered, processed_at)
+
+
+def _blocks(array: str) -> Column:
+    """Number of blocks an array is cut into; a null or empty one counts as one."""
+    size = F.coalesce(F.array_size(array), F.lit(0))
+    return F.greatest(F.ceil(size / BLOCK), F.lit(1))
+
+
+def _block(array: str, number: Column) -> Column:
+    return F.slice(array, (number * BLOCK + 1).cast("int"), F.lit(BLOCK)).alias(array)
+
+
 def rows_of_document(structures: str | Column = "reporting_structure") -> Column:
     """How many flat rows a document yields, from its array sizes alone."""
 

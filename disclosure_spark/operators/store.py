@@ -16,19 +16,6 @@ def with_partition_column(df: DataFrame) -> DataFrame:
     return df.withColumn(PARTITION_COLUMN, F.col("reporting_date"))
 
 
-def cluster_by_date(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Bring the rows of a date together, ahead of a partitioned write.
-
-    Without this every task would write a file into every date it meets. The
-    rebalance is done by AQE: small dates share a task, and a date that holds a
-    large part of all rows is split over as many tasks as its size asks for
-    (``spark.sql.adaptive.advisoryPartitionSizeInBytes`` each). ``partitions``
-    sets the number of shuffle partitions AQE starts from.
-    """
-    sizes = [] if partitions is None else [partitions]
-    return df.hint("rebalance", *sizes, PARTITION_COLUMN)
-
-
 def replace_partitions(df: DataFrame, path: str) -> None:
     """Write ``df``, replacing the dates it holds and keeping all others.
 

@@ -74,9 +74,9 @@ def entity_profile(files: DataFrame) -> DataFrame:
         F.count_distinct("plan_name").alias("unique_plans"),
         F.count("*").alias("total_rows"),
     )
-    return groups.withColumn("pct_of_total", percent(F.col("total_rows"), total)).orderBy(
-        F.desc("total_rows"), "reporting_entity_name"
-    )
+    share = percent(F.col("total_rows"), F.col("_total")).alias("pct_of_total")
+    shares = groups.select("*", total.alias("_total")).select("*", share).drop("_total")
+    return shares.orderBy(F.desc("total_rows"), "reporting_entity_name")
 
 
 def entity_like(files: DataFrame, text: str) -> DataFrame:

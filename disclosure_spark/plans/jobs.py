@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.blobs import mark_landed, plan_downloads, status_counts
-from ..operators.flatten import flatten
+from ..operators.flatten import flatten_by_date
 from ..operators.landing import fetch
 from ..operators.quality import (
     EmptyResultError,
@@ -22,7 +22,6 @@ from ..operators.quality import (
     verify_counts,
 )
 from ..operators.store import (
-    cluster_by_date,
     quoted,
     replace_partitions,
     replace_table_partitions,
@@ -130,7 +129,7 @@ def transform(
             f"{found['rejects']} documents could not be parsed, {max_rejects} allowed; see {stage}"
         )
 
-    counted = write_flat(flatten(spark.read.parquet(stage), processed_at), processed, partitions)
+    counted = write_flat(spark.read.parquet(stage), processed, processed_at, partitions)
     if not counted.get("rows"):
         raise EmptyResultError("the documents gave no rows; check the input files")
     return TransformResult(
@@ -142,11 +141,16 @@ def transform(
     )
 
 
-def write_flat(rows: DataFrame, processed: str, partitions: int | None = None) -> dict[str, int]:
-    """Write flat rows by date, replacing those dates; gives row and null counts."""
+def write_flat(
+    documents: DataFrame,
+    processed: str,
+    processed_at: str | datetime,
+    partitions: int | None = None,
+) -> dict[str, int]:
+    """Flatten into ``processed``, replacing the dates found; gives row and null counts."""
     written = Observation("rows")
-    clustered = cluster_by_date(with_partition_column(rows), partitions)
-    replace_partitions(observe_rows(clustered, written), processed)
+    rows = with_partition_column(flatten_by_date(documents, processed_at, partitions))
+    replace_partitions(observe_rows(rows, written), processed)
     return written.get
 
 

@@ -6,7 +6,7 @@ function says otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import bin_edge, bin_index, percent
@@ -104,16 +104,19 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     range is widened by one half on each side.
     """
     counts = _frequencies(df, column)
-    low, high = _bounds(counts)
+    least, most = F.min("value").cast("double"), F.max("value").cast("double")
+    pad = F.when(least == most, 0.5).otherwise(0.0)
+    bounds = counts.agg(F.struct((least - pad).alias("low"), (most + pad).alias("high")).alias("range"))
+    low, high = F.col("range.low"), F.col("range.high")
+
     binned = (
-        counts.select(
-            bin_index(F.col("value").cast("double"), low, high, bins).alias("bin"), "n"
-        )
+        counts.select("value", "n", bounds.scalar().alias("range"))
+        .select(bin_index(F.col("value").cast("double"), low, high, bins).alias("bin"), "n")
         .groupBy("bin")
         .agg(F.sum("n").alias("n"))
     )
     # One row per bin: a table of fixed size, not a function of the data.
-    frame = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
+    frame = df.sparkSession.range(bins).select(F.col("id").alias("bin"), bounds.scalar().alias("range"))
     return frame.join(binned, "bin", "left").select(
         "bin",
         bin_edge(F.col("bin"), low, high, bins).alias("bin_start"),
@@ -122,14 +125,6 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     )
 
 
-def _bounds(counts: DataFrame) -> tuple[Column, Column]:
-    """Least and greatest value, apart from each other, as a scalar subquery."""
-    low, high = F.min("value").cast("double"), F.max("value").cast("double")
-    pad = F.when(low == high, 0.5).otherwise(0.0)
-    bounds = counts.agg(F.struct((low - pad).alias("low"), (high + pad).alias("high")).alias("bounds"))
-    return bounds.scalar()["low"], bounds.scalar()["high"]
-
-
 def rows_per_file_histogram(files: DataFrame, bins: int = 30) -> DataFrame:
     """Histogram of the rows per source file."""
     return histogram(rows_per_file(files), "rows", bins).withColumnRenamed("n", "source_files")

@@ -6,8 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 from support import document, network, plan, spark_bag, write_document
 
+from disclosure_spark.fixtures import PROCESSED_AT, index_docs
+from disclosure_spark.operators import flatten as flatten_module
 from disclosure_spark.operators import quality, store
+from disclosure_spark.operators.flatten import flatten
 from disclosure_spark.plans import jobs
+from disclosure_spark.sources.documents import read_index_documents
 from disclosure_spark.sources.tables import read_index_files
 
 STRUCTURE = {"reporting_plans": [plan()], "in_network_files": network(1, 2)}
@@ -191,17 +195,61 @@ def test_dates_prune_partitions(spark, zone, tmp_path, capsys):
     assert "partition_date" in filters
 
 
-def test_hot_date_is_split_over_tasks(spark, zone, sf_dir):
-    """Nearly all rows on one date: the write must not put them into one task."""
-    from disclosure_spark.fixtures import processed_files
+def files_of(spark, path):
+    files = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("f"))
+    return files.groupBy("f").count().count()
+
 
-    rows = processed_files(spark, sf_dir).drop("partition_date")
-    hot = rows.withColumn("reporting_date", F.lit(JUNE))
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+def write_split(spark, documents, path, advisory="64k"):
+    """Write with a small partition size, as if the data were large."""
+    sizes = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": advisory,
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+    }
+    for key, value in sizes.items():
+        spark.conf.set(key, value)
     try:
-        written = jobs.write_flat(hot, zone["processed"])
+        counts = jobs.write_flat(documents, path, PROCESSED_AT)
     finally:
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    files = spark.read.parquet(zone["processed"]).selectExpr("_metadata.file_path AS f").distinct().count()
-    assert files > 1
-    assert written["rows"] == hot.count() == spark.read.parquet(zone["processed"]).count()
+        for key in sizes:
+            spark.conf.unset(key)
+    assert counts["rows"] == spark.read.parquet(path).count()
+    found = spark.read.parquet(path).drop("partition_date")
+    expected = flatten(documents, PROCESSED_AT)
+    assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+
+
+def test_hot_date_is_split_over_tasks(spark, zone, sf_dir):
+    # Read by several tasks, as large data is.
+    documents = index_docs(spark, sf_dir).repartition(8)
+    documents = documents.withColumn("source_file", F.lit(f"{JUNE}_a_index.json"))
+    write_split(spark, documents, zone["processed"])
+    assert files_of(spark, zone["processed"]) > 1
+
+
+def test_hot_structure_is_split_over_tasks(spark, zone, tmp_path, monkeypatch):
+    """One structure gives nearly all rows: 450 plans by 320 files."""
+    monkeypatch.setattr(flatten_module, "BLOCKS_TOGETHER", 50)
+    large = {
+        "reporting_plans": [plan(plan_id=str(i)) for i in range(450)],
+        "in_network_files": network(*range(320)),
+        "allowed_amount_file": {"description": "d", "location": "l"},
+    }
+    no_files = {"reporting_plans": [plan(plan_id=str(i)) for i in range(250)]}
+    land(zone, tmp_path, JUNE, "a", STRUCTURE, large, no_files, {"in_network_files": network(1)})
+    documents = read_index_documents(spark, zone["raw"])
+    write_split(spark, documents, zone["processed"], advisory="16k")
+    assert spark.read.parquet(zone["processed"]).count() == 2 + 450 * 320 + 250
+    assert files_of(spark, zone["processed"]) > 1
+
+
+def test_small_documents_give_one_file_per_date(spark, zone, sf_dir):
+    jobs.write_flat(index_docs(spark, sf_dir), zone["processed"], PROCESSED_AT)
+    assert files_of(spark, zone["processed"]) == len(by_date(spark, zone["processed"]))
+
+
+def test_many_structures_are_split_over_tasks(spark, zone, tmp_path):
+    many = [{"reporting_plans": [plan(plan_id=str(i))], "in_network_files": network(i, i + 1)} for i in range(2000)]
+    land(zone, tmp_path, JUNE, "a", *many)
+    write_split(spark, read_index_documents(spark, zone["raw"]), zone["processed"], advisory="16k")
+    assert files_of(spark, zone["processed"]) > 1
