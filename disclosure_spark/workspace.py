@@ -23,8 +23,9 @@ def workspace(spark: SparkSession, *parts: str) -> str:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         app = context.applicationId
-        root = _local_roots.setdefault(app, "") or tempfile.mkdtemp(prefix="disclosure-")
-        _local_roots[app] = root
+        if app not in _local_roots:
+            _local_roots[app] = tempfile.mkdtemp(prefix="disclosure-")
+        root = _local_roots[app]
     return "/".join([root.rstrip("/"), "disclosure_spark", spark.sparkContext.applicationId, *parts])
 
 

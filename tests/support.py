@@ -18,7 +18,9 @@ TABLES = [
 def connect(sf_dir: str):
     con = duckdb.connect()
     for table in TABLES:
-        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+        files = f"{sf_dir}/{table}.parquet"
+        files += "/*.parquet" if Path(files).is_dir() else ""
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{files}'")
     return con
 
 
@@ -38,10 +40,11 @@ def spark_bag(df) -> Counter:
     return bag(df.columns, df.collect())
 
 
-def sql_bag(con, sql: str) -> tuple[list[str], Counter]:
+def sql_bag(con, sql: str) -> tuple[dict[str, str], Counter]:
+    """Column types and rows of a query."""
     result = con.execute(sql)
-    columns = [d[0] for d in result.description]
-    return columns, bag(columns, result.fetchall())
+    types = {d[0]: str(d[1]) for d in result.description}
+    return types, bag(list(types), result.fetchall())
 
 
 def write_document(folder: Path, name: str, *documents: dict) -> Path:
