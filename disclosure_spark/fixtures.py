@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators.blobs import SUFFIXES
-from .plans.jobs import load, write_flat
+from .plans.jobs import load, stage_documents, write_flat
 from .workspace import run_path
 
 PROCESSED_AT = "2026-06-01T00:00:00"
@@ -142,6 +142,7 @@ class Stored:
 
 _documents: dict[tuple[str, str], str] = {}
 _stored: dict[tuple[str, str], Stored] = {}
+_frames: dict[str, DataFrame] = {}
 _lock = threading.RLock()
 
 
@@ -155,7 +156,7 @@ def stored_documents(spark: SparkSession, sf_dir: str) -> str:
     with _lock:
         if key not in _documents:
             path = run_path(spark, "documents")
-            make_index_docs(spark, sf_dir).write.parquet(path)
+            stage_documents(make_index_docs(spark, sf_dir), path)
             _documents[key] = path
         return _documents[key]
 
@@ -178,16 +179,24 @@ def stored(spark: SparkSession, sf_dir: str) -> Stored:
         return _stored[key]
 
 
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    """A stored table, whose files are listed once per session."""
+    df = _frames.get(path)
+    if df is None or df.sparkSession is not spark:
+        df = _frames[path] = spark.read.parquet(path)
+    return df
+
+
 def index_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored nested documents."""
-    return spark.read.parquet(stored_documents(spark, sf_dir))
+    return _read(spark, stored_documents(spark, sf_dir))
 
 
 def processed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored flat rows, as the transform wrote them."""
-    return spark.read.parquet(stored(spark, sf_dir).processed)
+    return _read(spark, stored(spark, sf_dir).processed)
 
 
 def index_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored, typed flat table."""
-    return spark.read.parquet(stored(spark, sf_dir).table)
+    return _read(spark, stored(spark, sf_dir).table)

@@ -99,17 +99,18 @@ def flatten_by_date(
         _blocks("structure.reporting_plans").alias("plan_blocks"),
         _blocks("structure.in_network_files").alias("file_blocks"),
     )
-    last = F.col("plan_blocks") * F.col("file_blocks") - 1
-    numbered = sized.select("*", F.explode(F.sequence(F.lit(0), last)).alias("block"))
-    plan_block = F.floor(F.col("block") / F.col("file_blocks"))
+    # One generator per array, as their product may be more than an array holds.
+    by_plans = sized.select("*", _numbers("plan_blocks").alias("plan_block"))
+    numbered = by_plans.select("*", _numbers("file_blocks").alias("file_block"))
+    number = F.col("plan_block") * F.col("file_blocks") + F.col("file_block")
     blocks = numbered.select(
         *_DOCUMENT_COLUMNS,
         "date",
         "structure_run",
-        F.floor(F.col("block") / BLOCKS_TOGETHER).alias("block_run"),
+        F.floor(number / BLOCKS_TOGETHER).alias("block_run"),
         "allowed_file",
-        _block("plans", plan_block),
-        _block("network_files", F.col("block") % F.col("file_blocks")),
+        _block("plans", "plan_block"),
+        _block("network_files", "file_block"),
     )
     start = [] if partitions is None else [partitions]
     clustered = blocks.hint("rebalance", *start, "date", "structure_run", "block_run")
@@ -119,11 +120,16 @@ def flatten_by_date(
 def _blocks(array: str) -> Column:
     """Number of blocks an array is cut into; a null or empty one counts as one."""
     size = F.coalesce(F.array_size(array), F.lit(0))
-    return F.greatest(F.ceil(size / BLOCK), F.lit(1))
+    return F.greatest(F.ceil(size / BLOCK), F.lit(1)).cast("bigint")
 
 
-def _block(array: str, number: Column) -> Column:
-    return F.slice(array, (number * BLOCK + 1).cast("int"), F.lit(BLOCK)).alias(array)
+def _numbers(count: str) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(count) - 1))
+
+
+def _block(array: str, number: str) -> Column:
+    start = (F.col(number) * BLOCK + 1).cast("int")
+    return F.slice(array, start, F.lit(BLOCK)).alias(array)
 
 
 def rows_of_document(structures: str | Column = "reporting_structure") -> Column:

@@ -23,7 +23,8 @@ def fetch(
 ) -> DataFrame:
     """Copy each ``downloadUrl`` of ``pending`` to its ``path`` below ``root``.
 
-    ``root`` is a folder that all executors reach. The files are spread evenly
+    ``root`` is a folder that all executors reach, as a path or as a URI that
+    Arrow's file systems know. The files are spread evenly
     over ``tasks`` tasks. A download is streamed in chunks to a name of its own
     and then renamed, so a lost task leaves no half-written file under a final
     name, and its second attempt finds what the first one finished. A file that

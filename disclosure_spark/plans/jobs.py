@@ -34,6 +34,8 @@ from ..sources.listing import read_landed, read_listing
 from ..sources.tables import read_index_files
 from ..workspace import run_path
 
+STAGE_ROW_GROUP_BYTES = 16 << 20
+
 
 def extract(
     spark: SparkSession,
@@ -120,7 +122,7 @@ def transform(
 
     read = Observation("documents")
     documents = read_index_documents(spark, raw, pattern)
-    observe_documents(documents, read).write.mode("overwrite").parquet(stage)
+    stage_documents(observe_documents(documents, read), stage)
     found = read.get
     if not found.get("documents"):
         raise NoDocumentsError(f"no documents like {pattern} below {raw}")
@@ -141,6 +143,15 @@ def transform(
     )
 
 
+def stage_documents(documents: DataFrame, stage: str) -> None:
+    """Keep nested documents as Parquet, in row groups small enough to share out.
+
+    A document becomes many rows, so the tasks that flatten should be able to
+    take less of the copy than a row group of the usual size.
+    """
+    documents.write.mode("overwrite").option("parquet.block.size", STAGE_ROW_GROUP_BYTES).parquet(stage)
+
+
 def write_flat(
     documents: DataFrame,
     processed: str,
