@@ -28,7 +28,7 @@ class CountMismatchError(ValueError):
 
 
 def _null_counts(columns: Sequence[str]) -> list[Column]:
-    return [F.count_if(F.col(c).isNull()).alias(c) for c in columns]
+    return [(F.count("*") - F.count(c)).alias(c) for c in columns]
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

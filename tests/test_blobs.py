@@ -8,7 +8,7 @@ import pytest
 from support import document, plan, write_document
 
 from disclosure_spark.functions.scalars import base_name, landing_name
-from disclosure_spark.operators import blobs
+from disclosure_spark.operators import blobs, landing
 from disclosure_spark.plans import jobs
 from disclosure_spark.sources.documents import read_index_documents
 from disclosure_spark.sources.listing import read_landed, read_listing
@@ -171,3 +171,23 @@ def test_extract_end_to_end(spark, tmp_path):
 
     with pytest.raises(OSError):
         jobs.extract(spark, Path("/nowhere/listing.json").as_uri(), str(root), **options)
+
+
+def test_fetch_taken_up_again(spark, tmp_path):
+    """A second attempt keeps what is complete, and nothing partial has a final name."""
+    remote = tmp_path / "remote"
+    remote.mkdir()
+    (remote / "a").write_bytes(b"x" * 3_000_000)
+    rows = [("d/a", (remote / "a").as_uri()), ("d/b", (remote / "b").as_uri())]
+    wanted = spark.createDataFrame(rows, "path string, downloadUrl string")
+    root = str(tmp_path / "root")
+
+    def outcome(report):
+        found = landing.fetch(wanted, root, str(tmp_path / report), tasks=2)
+        return {r["path"]: (r["status"], r["bytes"]) for r in found.collect()}
+
+    assert outcome("r1") == {"d/a": ("downloaded", 3_000_000), "d/b": ("failed", None)}
+    assert [p.name for p in (tmp_path / "root" / "d").iterdir()] == ["a"]
+    (remote / "a").write_bytes(b"changed")
+    (remote / "b").write_bytes(b"y")
+    assert outcome("r2") == {"d/a": ("downloaded", 3_000_000), "d/b": ("downloaded", 1)}

@@ -50,6 +50,11 @@ def test_transform_reports_counts(spark, zone, tmp_path):
     assert "reporting_date" in spark.read.parquet(zone["processed"]).columns
 
 
+def test_number_of_partitions(spark, zone, sf_dir):
+    jobs.write_flat(index_docs(spark, sf_dir), zone["processed"], PROCESSED_AT, partitions=1)
+    assert files_of(spark, zone["processed"]) == len(by_date(spark, zone["processed"]))
+
+
 def test_transform_keeps_other_dates(spark, zone, tmp_path):
     land(zone, tmp_path, JUNE, "a")
     jobs.transform(spark, zone["raw"], zone["processed"])

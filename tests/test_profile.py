@@ -8,11 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 from support import spark_bag
 
-from disclosure_spark.fixtures import index_files
+from disclosure_spark.fixtures import index_files, stored
 from disclosure_spark.functions.scalars import percent
 from disclosure_spark.operators import quality
 from disclosure_spark.plans import explore, profile
-from disclosure_spark.schemas import TABLE_COLUMNS
+from disclosure_spark.schemas import FLAT_NAMES, TABLE_COLUMNS
 from disclosure_spark.sources.tables import NA_TEXTS, read_csv_export
 
 COLUMNS = "source_file string, reporting_entity_name string, plan_id string, plan_name string, " \
@@ -220,3 +220,26 @@ def test_like_and_null_filters_reach_the_scan(spark, sf_dir, capsys):
     text = capsys.readouterr().out
     assert "StringContains(reporting_entity_name,A-Inc)" in text
     assert "IsNull(plan_sponsor_name)" in text
+
+
+@pytest.mark.parametrize(
+    "query",
+    [lambda df: quality.null_profile(df, FLAT_NAMES), quality.not_null_check, quality.partition_counts],
+)
+def test_counts_can_come_from_footers(spark, sf_dir, capsys, query):
+    """With aggregates pushed into the Parquet scan no data page is read."""
+    path = stored(spark, sf_dir).table
+    expected = spark_bag(query(spark.read.parquet(path)))
+    settings = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        result = query(spark.read.parquet(path))
+        result.explain()
+        found = spark_bag(result)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert "PushedAggregation: [COUNT" in capsys.readouterr().out
+    assert found == expected
