@@ -68,27 +68,21 @@ def funnel(
 
 
 def mark_landed(
-    plan: DataFrame,
-    landed: DataFrame,
-    *,
-    check_size: bool = False,
-    order: Sequence[str] = ("pos",),
+    plan: DataFrame, landed: DataFrame, *, order: Sequence[str] = ("pos",)
 ) -> DataFrame:
     """``plan`` with a ``status``: ``pending``, or ``skipped`` when already there.
 
     Two names may lead to one path; the first in listing order is fetched and
-    the others count as skipped, as they would find it there. ``check_size``
-    makes a landed file of another size pending again.
+    the others count as skipped, as they would find it there.
 
     The plan is a top-k, so Catalyst knows its size and broadcasts it to the
     scan of ``landed`` when that is below the broadcast threshold; beyond it
     the joins shuffle. What is left of ``landed`` is no larger than the plan.
     """
-    keys = ["path", "size"] if check_size else ["path"]
-    here = landed.join(plan.select(*keys), keys, "left_semi").select(*keys).distinct()
+    here = landed.join(plan.select("path"), "path", "left_semi").select("path").distinct()
     place = Window.partitionBy("path").orderBy(*dict.fromkeys([*order, "name", "size"]))
     marked = plan.withColumn("_copy", F.row_number().over(place)).join(
-        here.withColumn("_here", F.lit(True)), keys, "left"
+        here.withColumn("_here", F.lit(True)), "path", "left"
     )
     wanted = F.col("_here").isNull() & (F.col("_copy") == 1)
     return marked.select(

@@ -45,22 +45,32 @@ def fetch(
         from pyarrow import fs
 
         store, base = fs.FileSystem.from_uri(root)
+        text = pa.string()
+        report_schema = pa.schema(
+            [("path", text), ("status", text), ("bytes", pa.int64()), ("error", text)]
+        )
 
         def copy(url: str, path: str) -> int:
+            if ".." in path.split("/"):
+                raise ValueError("the path leaves the landing zone")
             target = f"{base}/{path}"
             found = store.get_file_info(target)
             if found.type == fs.FileType.File:
                 return found.size
-            folder, _, name = target.rpartition("/")
+            folder = target.rpartition("/")[0]
             store.create_dir(folder, recursive=True)
             partial = f"{folder}/_{uuid.uuid4().hex}.part"
             request = urllib.request.Request(url, headers=headers)
             size = 0
             with urllib.request.urlopen(request, timeout=timeout) as source:
-                with store.open_output_stream(partial) as sink:
-                    while chunk := source.read(chunk_bytes):
-                        sink.write(chunk)
-                        size += len(chunk)
+                try:
+                    with store.open_output_stream(partial) as sink:
+                        while chunk := source.read(chunk_bytes):
+                            sink.write(chunk)
+                            size += len(chunk)
+                except BaseException:
+                    store.delete_file(partial)
+                    raise
             store.move(partial, target)
             return size
 
@@ -73,8 +83,7 @@ def fetch(
                 except Exception as e:
                     outcome |= {"status": "failed", "error": f"{type(e).__name__}: {e}"}
                 rows.append(outcome)
-            fields = [("path", pa.string()), ("status", pa.string()), ("bytes", pa.int64()), ("error", pa.string())]
-            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(fields))
+            yield pa.RecordBatch.from_pylist(rows, schema=report_schema)
 
     tasks = tasks or spark.sparkContext.defaultParallelism
     files = pending.select("path", "downloadUrl").repartition(tasks)
