@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from ..functions.scalars import percent
 
 
-
 def overview(files: DataFrame) -> DataFrame:
     """Rows and source files."""
     return files.agg(
@@ -101,7 +100,11 @@ def sponsor_issuer_diff(files: DataFrame, n: int = 10) -> DataFrame:
     return differing.orderBy(*columns).limit(n)
 
 
-def preview(files: DataFrame, keys: Sequence[str] = ("source_file", "plan_id", "in_network_location"), n: int = 5) -> DataFrame:
+def preview(
+    files: DataFrame,
+    keys: Sequence[str] = ("source_file", "plan_id", "in_network_location"),
+    n: int = 5,
+) -> DataFrame:
     """The first ``n`` rows in the order of ``keys``, then of the other columns."""
     rest = [c for c in files.columns if c not in keys]
     return files.orderBy(*keys, *rest).limit(n)

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from ..functions.scalars import bin_edge, bin_index, percent
 
 
-
 def value_counts(df: DataFrame, column: str, *, keep_null: bool = False, n: int | None = None) -> DataFrame:
     """Rows per value, most frequent first, ties by value; the top ``n`` if given."""
     rows = df if keep_null else df.filter(F.col(column).isNotNull())

@@ -161,7 +161,8 @@ def test_extract_end_to_end(spark, tmp_path):
     assert sorted(p.name for p in landed.iterdir()) == [
         "2026-06-01_a_index.json", "2026-06-01_b_c_index.json", "2026-06-01_d_index.json",
     ]
-    assert (landed / "2026-06-01_b_c_index.json").read_bytes() == (remote / "2026-06-01_b c_index.json").read_bytes()
+    copied, original = landed / "2026-06-01_b_c_index.json", remote / "2026-06-01_b c_index.json"
+    assert copied.read_bytes() == original.read_bytes()
 
     write_document(remote, missing.name, document({"reporting_plans": [plan()]}))
     second = jobs.extract(spark, listing.as_uri(), str(root), **options)

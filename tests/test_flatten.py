@@ -94,8 +94,10 @@ def test_batch_with_only_empty_file_lists(flat):
 
 
 def test_counts_without_exploding(spark, tmp_path):
-    write_document(tmp_path, "2026-06-01_a_index.json", document({"reporting_plans": [plan(), plan()], "in_network_files": network(1, 2, 3)}))
-    write_document(tmp_path, "2026-06-01_b_index.json", document({"reporting_plans": [plan()], "in_network_files": []}))
+    six = {"reporting_plans": [plan(), plan()], "in_network_files": network(1, 2, 3)}
+    one = {"reporting_plans": [plan()], "in_network_files": []}
+    write_document(tmp_path, "2026-06-01_a_index.json", document(six))
+    write_document(tmp_path, "2026-06-01_b_index.json", document(one))
     write_document(tmp_path, "2026-06-01_c_index.json", document())
     documents = read_index_documents(spark, str(tmp_path))
     assert flatten_counts(documents).first().asDict() == {

@@ -26,13 +26,13 @@ def zone(tmp_path):
 
 def land(zone, tmp_path, date, company, *structures, **values):
     structures = structures or (STRUCTURE,)
-    return write_document(
-        tmp_path / "raw" / "src" / "index" / date, f"{date}_{company}_index.json", document(*structures, **values)
-    )
+    folder = tmp_path / "raw" / "src" / "index" / date
+    return write_document(folder, f"{date}_{company}_index.json", document(*structures, **values))
 
 
 def by_date(spark, path):
-    return {str(r["partition_date"]): r["rows"] for r in quality.partition_counts(spark.read.parquet(path)).collect()}
+    counts = quality.partition_counts(spark.read.parquet(path))
+    return {str(r["partition_date"]): r["rows"] for r in counts.collect()}
 
 
 def test_transform_reports_counts(spark, zone, tmp_path):
@@ -254,7 +254,10 @@ def test_small_documents_give_one_file_per_date(spark, zone, sf_dir):
 
 
 def test_many_structures_are_split_over_tasks(spark, zone, tmp_path):
-    many = [{"reporting_plans": [plan(plan_id=str(i))], "in_network_files": network(i, i + 1)} for i in range(2000)]
+    many = [
+        {"reporting_plans": [plan(plan_id=str(i))], "in_network_files": network(i, i + 1)}
+        for i in range(2000)
+    ]
     land(zone, tmp_path, JUNE, "a", *many)
     write_split(spark, read_index_documents(spark, zone["raw"]), zone["processed"], advisory="16k")
     assert files_of(spark, zone["processed"]) > 1
