@@ -23,6 +23,11 @@ from disclosure_spark.plans import explore, profile
 from disclosure_spark.schemas import FLAT_NAMES, PARTITION_COLUMN, REQUIRED_NAMES
 from disclosure_spark.workspace import run_path
 
+try:
+    from disclosure_spark.llm import queries as llm
+except ImportError:  # the package and its pipeline may be left out
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Parameters of the registered queries.
@@ -101,8 +106,8 @@ def _blob_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blobs.status_counts(marked)
 
 
-def queries() -> dict[str, Query]:
-    """One entry per named query."""
+def library_queries() -> dict[str, Query]:
+    """The queries of the library itself."""
     return {
         "flatten_index": _flatten_index,
         "flatten_counts": _flatten_counts,
@@ -138,6 +143,11 @@ def queries() -> dict[str, Query]:
     }
 
 
+def queries() -> dict[str, Query]:
+    """One entry per named query."""
+    return library_queries() | (llm.queries() if llm else {})
+
+
 _FILES = """
 WITH line AS (
     SELECT l_orderkey AS o, l_partkey AS part, l_suppkey AS supplier, l_linenumber AS number,
@@ -385,4 +395,5 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL
             SELECT 'skipped', count(*) FILTER (WHERE status = 'skipped') FROM marked""",
     }
-    return {k: _FILES + v for k, v in on_files.items()} | {k: _BLOBS + v for k, v in on_blobs.items()}
+    sql = {k: _FILES + v for k, v in on_files.items()} | {k: _BLOBS + v for k, v in on_blobs.items()}
+    return sql | (llm.oracle_sql() if llm else {})
