@@ -272,7 +272,9 @@ def roundtrip(spark: SparkSession, pages: DataFrame) -> DataFrame:
     declares; a response's are computed from the payload read, and must agree.
     """
     index = archive(spark, pages)
-    back = read(index.repartition(F.col("file"), F.floor(F.col("offset") / (8 << 20))), payloads=False)
+    # A number of its own, as the index is small and would end up in one task.
+    many = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    back = read(index.repartition(many, "file", F.floor(F.col("offset") / (1 << 20))), payloads=False)
     agrees = F.col("record_type").eqNullSafe("revisit") | (
         F.col("payload_digest").eqNullSafe(F.col("declared_digest")) & F.col("payload_bytes").eqNullSafe(F.col("declared_bytes"))
     )
