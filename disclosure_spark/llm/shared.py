@@ -24,6 +24,14 @@ def saved(df: DataFrame, name: str, partition_by: str | None = None) -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table that ``saved`` wrote and nothing reads any more."""
+    spark = df.sparkSession
+    for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def drop_shuffles(spark: SparkSession) -> None:
     """Let Spark's cleaner remove the shuffle files of finished jobs."""
     spark.sparkContext._jvm.System.gc()

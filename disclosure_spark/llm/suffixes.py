@@ -16,23 +16,24 @@ their anchor elsewhere are sorted themselves, which decides each byte exactly.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import arrow_batch, drop_shuffles, pair_hash, saved, signed, sliding_min, window_hashes
+from .shared import arrow_batch, discard, drop_shuffles, pair_hash, saved, signed, sliding_min, window_hashes
 
 LENGTH = 200  # bytes of a passage
 GRAM = 32  # bytes that an anchor is chosen by
-BATCHES = 4  # the query adds the documents in so many batches
+BATCHES = 2  # the query adds the documents in so many batches
 CHUNK = 1 << 21  # bytes hashed at a time
 HOT = 256  # contexts of one anchor that a task compares; more are dealt by their windows
 _STEPS = LENGTH - GRAM + 1
 
-KEY = "id long, print long"  # a document: its id, and a hash of its text
-SUFFIXES = f"anchor long, context long, {KEY}, start long, windows int"
+# A document is told by a 64-bit hash of its id and text.
+SUFFIXES = "anchor long, context long, doc long, start long, windows int"
 
 
 def _pieces(texts: list[bytes], most: int = CHUNK):
@@ -77,12 +78,12 @@ def _runs(place: np.ndarray, anchors: np.ndarray, at_begin: np.ndarray) -> tuple
 
 
 def suffixes(docs: DataFrame) -> DataFrame:
-    """The anchored suffixes of documents given as id, print, text."""
+    """The anchored suffixes of documents given as doc, text."""
 
     def task(batches):
         for batch in batches:
-            ids, prints = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            texts = [(t or "").encode() for t in batch.column(2).to_pylist()]
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
             for group in _pieces(texts):
                 place, anchors, windows, at_begin, begin = _hashed([texts[i][a:b] for i, a, b in group])
                 first, last = _runs(place, anchors, at_begin)
@@ -91,10 +92,10 @@ def suffixes(docs: DataFrame) -> DataFrame:
                 start = place[first] - begin[part] + np.array([a for _, a, _ in group])[part]
                 many = last - first + 1
                 context = pair_hash(pair_hash(windows[first], windows[last]), many.astype(np.uint64), 1)
-                columns = [signed(anchors[first]), signed(context), ids[own], prints[own], start, many.astype(np.int32)]
+                columns = [signed(anchors[first]), signed(context), ids[own], start, many.astype(np.int32)]
                 yield arrow_batch(SUFFIXES, [pa.array(c) for c in columns])
 
-    return docs.select("id", "print", "text").mapInArrow(task, SUFFIXES)
+    return docs.select("doc", "text").mapInArrow(task, SUFFIXES)
 
 
 class SuffixFamily:
@@ -107,35 +108,36 @@ class SuffixFamily:
 
     @staticmethod
     def _merged(rows: DataFrame) -> DataFrame:
-        """One row per (anchor, context): how many there are, and one of them."""
-        one = F.min(F.struct("id", "print", "start", "windows")).alias("one")
-        return rows.groupBy("anchor", "context").agg(F.sum("many").alias("many"), one).select("anchor", "context", "many", "one.*")
+        """One row per (anchor, context) with how many suffixes have it, in that order."""
+        merged = rows.groupBy("anchor", "context").agg(F.sum("many").alias("many"))
+        return saved(merged.sortWithinPartitions("anchor", "context"), "suffix_array")
 
     def add(self, batch: DataFrame) -> None:
         """Scan the suffixes of a batch against all levels, then add them as the newest level."""
-        array = self._merged(batch.withColumn("many", F.lit(1).cast("long"))).sortWithinPartitions("anchor", "context")
-        array = saved(array, "suffix_array")
+        array = self._merged(batch.select("anchor", "context", F.lit(1).cast("long").alias("many")))
+        drop_shuffles(self.spark)
         tagged = array.select("anchor", "context", F.lit(True).alias("new"))
         for _, level in self.levels:
             tagged = tagged.unionByName(level.select("anchor", "context", F.lit(False).alias("new")))
         matches = tagged.groupBy("anchor").agg(F.min("context").alias("a"), F.max("context").alias("b"), F.max("new").alias("new"))
         matches = saved(matches.filter("a <> b AND new").select("anchor"), "suffix_matches")
         self.met = matches if self.met is None else self.met.unionByName(matches)
+        drop_shuffles(self.spark)
         size = 1
         while self.levels and self.levels[-1][0] == size:
             _, level = self.levels.pop()
-            merged = self._merged(array.unionByName(level)).sortWithinPartitions("anchor", "context")
-            array = saved(merged, "suffix_array")
+            both = array, level
+            array = self._merged(array.unionByName(level))
+            for old in both:
+                discard(old)
             size *= 2
         self.levels.append((size, array))
         drop_shuffles(self.spark)
 
     def contexts(self) -> DataFrame:
         """All levels as one."""
-        rows = self.levels[0][1]
-        for _, level in self.levels[1:]:
-            rows = rows.unionByName(level)
-        return self._merged(rows) if len(self.levels) > 1 else rows
+        rows = [level for _, level in self.levels]
+        return self._merged(reduce(DataFrame.unionByName, rows)) if len(rows) > 1 else rows[0]
 
 
 def _repeated(keys: np.ndarray) -> np.ndarray:
@@ -149,7 +151,7 @@ def _repeated(keys: np.ndarray) -> np.ndarray:
     return out
 
 
-SPANS = f"{KEY}, start long, windows int"
+SPANS = "doc long, start long, windows int"
 
 
 def _spans(windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -163,7 +165,7 @@ def _compared(rows: DataFrame) -> DataFrame:
     """Windows that repeat among contexts of one anchor, as spans. Contexts that are known to repeat only lend their windows."""
 
     def spans(rows: list) -> pa.RecordBatch:
-        place, _, windows, _, begin = _hashed([r[5] for r in rows])
+        place, _, windows, _, begin = _hashed([r[4] for r in rows])
         part = np.searchsorted(begin, place, "right") - 1
         anchor = np.array([r[0] for r in rows])[part]
         # The dense suffix array of these contexts, sorted by the windows' hashes.
@@ -171,9 +173,9 @@ def _compared(rows: DataFrame) -> DataFrame:
         single = np.array([r[1] == 1 for r in rows])[part]
         first, many = _spans(place[twice & single])
         at = np.searchsorted(begin, first, "right") - 1
-        start = np.array([r[4] for r in rows])[at] + first - begin[at]
-        ids, prints = (np.array([r[i] for r in rows])[at] for i in (2, 3))
-        return arrow_batch(SPANS, [pa.array(c) for c in (ids, prints, start, many.astype(np.int32))])
+        start = np.array([r[3] for r in rows])[at] + first - begin[at]
+        docs = np.array([r[2] for r in rows])[at]
+        return arrow_batch(SPANS, [pa.array(c) for c in (docs, start, many.astype(np.int32))])
 
     def task(batches):
         held: list = []
@@ -185,32 +187,108 @@ def _compared(rows: DataFrame) -> DataFrame:
                     yield spans(held)
                     held, size = [], 0
                 held.append(row)
-                size += len(row[5])
+                size += len(row[4])
         if held:
             yield spans(held)
 
-    columns = ["anchor", "many", "id", "print", "start", "bytes"]
+    columns = ["anchor", "many", "doc", "start", "bytes"]
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return rows.select(*columns).repartition(n, "anchor").sortWithinPartitions("anchor").mapInArrow(task, SPANS)
 
 
-WINDOWS = f"window long, anchor long, many long, {KEY}, start long"
+PACKED = "kind int, bucket int, data binary"
+_SEEN, _MARK = 0, 1  # kinds: a window to be compared, a window that repeats
+_SEEN_TYPE = np.dtype([("key", "<u8"), ("doc", "<i8"), ("start", "<i8"), ("state", "<i8")])
+_MARK_TYPE = np.dtype([("doc", "<i8"), ("start", "<i8")])
+_SINGLE, _LENT = 0, 1  # states: the window is to be marked if it repeats; it only lends
 
 
 def _dealt(rows: DataFrame) -> DataFrame:
-    """The same for anchors of very many contexts: each window is a row, dealt by its hash."""
+    """The same for anchors of very many contexts: windows are dealt to buckets by their hash.
 
-    def task(batches):
+    Windows travel packed, many to a row. A task sends a window that it has several times only
+    once, and marks its own ones at once, so that no bucket gets a window more often than there are tasks.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 8 * n
+
+    def packed(kind: int, values: np.ndarray, by: str) -> pa.RecordBatch:
+        bucket = (values[by].view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        values, bucket = values[order], bucket[order]
+        first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, int)
+        data = [x.tobytes() for x in np.split(values, first[1:])] if len(first) else []
+        return arrow_batch(PACKED, [[kind] * len(first), bucket[first].tolist(), data])
+
+    def settled(seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Windows that repeat among these and are to be marked; one of each key for others to meet."""
+        seen = seen[np.argsort(seen["key"], kind="stable")]
+        new = np.append(True, seen["key"][1:] != seen["key"][:-1])
+        group = np.cumsum(new) - 1
+        many = np.bincount(group)
+        twice = (many > 1)[group]
+        marks = seen[twice & (seen["state"] == _SINGLE)]
+        one = seen[new].copy()
+        one["state"][many > 1] = _LENT
+        return marks[["doc", "start"]].astype(_MARK_TYPE), one
+
+    def windows(held: list) -> tuple[np.ndarray, np.ndarray]:
+        place, _, hashes, _, begin = _hashed([r[4] for r in held])
+        part = np.searchsorted(begin, place, "right") - 1
+        seen = np.zeros(len(place), _SEEN_TYPE)
+        seen["key"] = pair_hash(hashes, np.array([r[0] for r in held]).view(np.uint64)[part])
+        seen["doc"] = np.array([r[2] for r in held])[part]
+        seen["start"] = np.array([r[3] for r in held])[part] + place - begin[part]
+        seen["state"] = np.where(np.array([r[1] for r in held])[part] == 1, _SINGLE, _LENT)
+        return settled(seen)
+
+    def deal(batches):
+        held, size = [], 0
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                place, _, windows, _, _ = _hashed([row[5]])
-                same = [np.full(len(place), row[i]) for i in (0, 1, 2, 3)]
-                yield arrow_batch(WINDOWS, [pa.array(c) for c in (signed(windows), *same, row[4] + place)])
+                held.append(row)
+                size += len(row[4])
+                if size > CHUNK:
+                    marks, one = windows(held)
+                    yield packed(_MARK, marks, "doc")
+                    yield packed(_SEEN, one, "key")
+                    held, size = [], 0
+        if held:
+            marks, one = windows(held)
+            yield packed(_MARK, marks, "doc")
+            yield packed(_SEEN, one, "key")
 
-    windows = rows.select("anchor", "many", "id", "print", "start", "bytes").mapInArrow(task, WINDOWS)
-    windows = saved(windows, "suffix_windows")
-    twice = windows.groupBy("window", "anchor").agg(F.count("*").alias("n")).filter("n > 1").select("window", "anchor")
-    return windows.filter("many = 1").join(twice, ["window", "anchor"], "left_semi").select("id", "print", "start", F.lit(1).alias("windows"))
+    def by_bucket(batches, kind: np.dtype):
+        last, held = None, []
+        for batch in batches:
+            for bucket, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if bucket != last and held:
+                    yield np.concatenate(held)
+                    held = []
+                last = bucket
+                held.append(np.frombuffer(data, kind))
+        if held:
+            yield np.concatenate(held)
+
+    def compare(batches):
+        for seen in by_bucket(batches, _SEEN_TYPE):
+            yield packed(_MARK, settled(seen)[0], "doc")
+
+    def gather(batches):
+        for marks in by_bucket(batches, _MARK_TYPE):
+            marks = np.sort(marks)
+            new = np.append(True, (marks["doc"][1:] != marks["doc"][:-1]) | (marks["start"][1:] > marks["start"][:-1] + 1))
+            first = np.flatnonzero(new)
+            last = np.append(first[1:], len(marks)) - 1
+            begin = marks["start"][first]
+            many = (marks["start"][last] - begin + 1).astype(np.int32)
+            yield arrow_batch(SPANS, [pa.array(c) for c in (marks["doc"][first], begin, many)])
+
+    dealt = saved(rows.select("anchor", "many", "doc", "start", "bytes").mapInArrow(deal, PACKED), "suffix_windows")
+    spread = lambda df: df.select("bucket", "data").repartition(n, "bucket").sortWithinPartitions("bucket")
+    compared = spread(dealt.filter(F.col("kind") == _SEEN)).mapInArrow(compare, PACKED)
+    marks = dealt.filter(F.col("kind") == _MARK).unionByName(compared)
+    return spread(marks).mapInArrow(gather, SPANS)
 
 
 CUTS = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
@@ -225,25 +303,31 @@ def remove(docs: DataFrame, batches: int = BATCHES, keep: bool = True) -> DataFr
     An empty table gives an empty result.
     """
     spark = docs.sparkSession
-    # A null id stands for itself; rows of the same id are told apart by their texts.
-    text = F.coalesce("text", F.lit(""))
-    keyed = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("id"),
-        F.xxhash64(F.col("doc_id").isNull(), text).alias("print"),
-        text.alias("text"),
-    )
-    part = F.pmod(F.xxhash64("id", "print", F.lit("batch")), F.lit(batches)).cast("int")
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    keyed = keyed.withColumn("doc", F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text"))
+    part = F.pmod(F.xxhash64("doc", F.lit("batch")), F.lit(batches)).cast("int")
     table = saved(suffixes(keyed).withColumn("batch", part), "suffixes", partition_by="batch")
     family = SuffixFamily(spark)
     for i in range(batches):
         family.add(table.filter(F.col("batch") == i).drop("batch"))
-    contexts = saved(family.contexts().withColumn("anchor", F.col("anchor")), "suffix_contexts") if len(family.levels) > 1 else family.contexts()
+    contexts = family.contexts()
 
-    # Windows to be compared one by one, with their bytes.
+    # Contexts that stand more than once, and those that met their anchor in another context.
     groups = contexts.join(family.met.distinct(), "anchor", "left_semi").groupBy("anchor").agg(F.count("*").alias("group"))
-    open_ = contexts.join(groups, "anchor")
-    wanted = open_.groupBy("id", "print").agg(F.collect_list(F.struct("anchor", "many", "start", "windows", "group")).alias("contexts"))
+    chosen = contexts.join(groups, "anchor", "left").filter("many > 1 OR group IS NOT NULL")
+    found = table.drop("batch").join(saved(chosen, "suffix_chosen"), ["anchor", "context"])
+    found = saved(found, "suffix_found")
+    for old in (table, contexts):
+        discard(old)
+    drop_shuffles(spark)
+
+    # Of the second kind one suffix each is compared, window by window, with its bytes.
+    place = F.struct("doc", "start", "windows")
+    met = found.filter("group IS NOT NULL")
+    lent = met.filter("many > 1").groupBy("anchor", "context", "many", "group").agg(F.min(place).alias("place"))
+    open_ = met.filter("many = 1").withColumn("place", place).select(lent.columns).unionByName(lent)
+    entry = F.struct("anchor", "many", "place.start", "place.windows", "group")
+    wanted = open_.groupBy(F.col("place.doc").alias("doc")).agg(F.collect_list(entry).alias("contexts"))
     cut = F.transform(
         "contexts",
         lambda c: F.struct(
@@ -254,19 +338,17 @@ def remove(docs: DataFrame, batches: int = BATCHES, keep: bool = True) -> DataFr
             F.substring(F.col("raw"), (c["start"] + 1).cast("int"), c["windows"] + LENGTH - 1).alias("bytes"),
         ),
     )
-    # Of rows with equal id and text any one will do.
-    own = keyed.select("id", "print", "text").join(wanted, ["id", "print"])
-    own = own.withColumn("raw", F.col("text").cast("binary")).select("id", "print", F.explode(cut).alias("c"))
-    own = own.select("id", "print", "c.*").dropDuplicates(["id", "print", "start", "anchor"])
+    own = keyed.select("doc", "text").join(wanted, "doc")
+    own = own.withColumn("raw", F.col("text").cast("binary")).select("doc", F.explode(cut).alias("c")).select("doc", "c.*")
+    # Rows of equal id and text give the same suffix several times over; those all stand more than once.
     own = saved(own.withColumn("hot", F.col("group") > HOT), "suffix_bytes", partition_by="hot")
     drop_shuffles(spark)
     single = _compared(own.filter("not hot")).unionByName(_dealt(own.filter("hot")))
 
     # All windows that repeat: every one of a context that stands more than once, and those found one by one.
-    whole = table.join(contexts.filter("many > 1").select("anchor", "context"), ["anchor", "context"], "left_semi")
-    spans = whole.select("id", "print", "start", "windows").unionByName(single)
-    packed = (F.col("start") * 1024 + F.col("windows")).alias("span")
-    marks = saved(spans.select("id", "print", packed).groupBy("id", "print").agg(F.collect_list("span").alias("spans")), "suffix_spans")
+    spans = found.filter("many > 1").select("doc", "start", "windows").unionByName(single)
+    packed = (F.shiftleft("start", 32) + F.col("windows")).alias("span")
+    marks = saved(spans.select("doc", packed).groupBy("doc").agg(F.collect_set("span").alias("spans")), "suffix_spans")
     drop_shuffles(spark)
 
     def task(batches):
@@ -278,7 +360,7 @@ def remove(docs: DataFrame, batches: int = BATCHES, keep: bool = True) -> DataFr
                 kept, removed, many = data, 0, 0
                 if spans is not None:
                     numbers = spans.to_numpy(zero_copy_only=False)
-                    start, windows = numbers >> 10, numbers & 1023
+                    start, windows = numbers >> 32, numbers & 0xFFFFFFFF
                     covered = np.zeros(len(data) + 1, np.int32)
                     np.add.at(covered, start, 1)
                     np.add.at(covered, start + windows + LENGTH - 1, -1)
@@ -291,5 +373,5 @@ def remove(docs: DataFrame, batches: int = BATCHES, keep: bool = True) -> DataFr
                     column.append(value)
             yield arrow_batch(CUTS, out)
 
-    done = keyed.join(marks, ["id", "print"], "left").select("doc_id", "text", "spans").mapInArrow(task, CUTS)
+    done = keyed.join(marks, "doc", "left").select("doc_id", "text", "spans").mapInArrow(task, CUTS)
     return done if keep else done.drop("kept")
