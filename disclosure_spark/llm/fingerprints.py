@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import saved
+from .shared import drop_shuffles, saved
 
 BINS = 256
 BITS = 8
@@ -158,12 +158,16 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         .withColumn("next", F.when(F.col("inner"), F.col("key")).otherwise(F.col("next")))
         .withColumn("copies", F.when(F.col("inner"), F.col("copies") - 1).otherwise(F.lit(1)))
     )
-    one = keyed.repartition("key").groupBy("key").agg(F.first("text").alias("text"))
+    turn = Window.partitionBy("key").orderBy("key")
+    one = keyed.withColumn("_turn", F.row_number().over(turn)).filter("_turn = 1").drop("_turn")
     heads = (
         one.withColumnRenamed("key", "next")
         .join(moves, "next")
         .select("key", "inner", "next", "copies", "n_chars", "lent", F.substring("text", F.lit(1), F.col("lent")).alias("head"))
     )
+    # Written before the texts are shuffled once more, so that only one such shuffle is on disk at a time.
+    heads = saved(heads, "print_heads")
+    drop_shuffles(docs.sparkSession)
     edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - F.col("lent")), F.col("head"))
     texts = one.join(heads, "key").withColumn("edited", edited)
     texts = texts.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))

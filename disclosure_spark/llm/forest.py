@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import arrow_batch, drop_shuffles, pair_hash, saved, shingle_sets, signed
+from .shared import arrow_batch, drop_shuffles, fresh, pair_hash, saved, shingle_sets, signed
 
 THRESHOLD = 0.8
 WORDS = 5
@@ -325,6 +325,7 @@ def survivors(docs: DataFrame) -> DataFrame:
 
     Documents in no group stay, also those without words.
     """
-    kept = groups(docs).filter("keeps").select(F.struct("doc_id", "print").alias("_rep")).distinct()
+    key = fresh(docs, "_rep")
+    kept = groups(docs).filter("keeps").select(F.struct("doc_id", "print").alias(key)).distinct()
     own = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("print"))
-    return docs.withColumn("_rep", own).join(kept, "_rep", "left_semi").dropDuplicates(["_rep"]).drop("_rep")
+    return docs.withColumn(key, own).join(kept, key, "left_semi").dropDuplicates([key]).select(docs.columns)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import saved
+from .shared import fresh, saved
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -187,13 +187,9 @@ def mixed(docs: DataFrame, seed: str = SEED) -> DataFrame:
     part = F.col("taken") / F.col("size") + F.pmod("salt", F.lit(1 << 20)) / float(1 << 20)
     times = F.when(F.col("size") == 0, 1).otherwise(F.floor(part)).cast("int")
     # Rows of equal id and text are one here, with the times of all of them.
-    key = F.struct("doc_id", "salt").alias("_key")
-    shares = with_shares(docs, seed).select(key, times.alias("times")).groupBy("_key").agg(F.sum("times").cast("int").alias("_times"))
+    key, many = fresh(docs, "_key"), fresh(docs, "_times")
+    shares = with_shares(docs, seed).select(F.struct("doc_id", "salt").alias(key), times.alias("times"))
+    shares = shares.groupBy(key).agg(F.sum("times").cast("int").alias(many)).filter(F.col(many) > 0)
     own = F.struct(F.col("doc_id"), _salt(seed).alias("salt"))
-    return (
-        docs.withColumn("_key", own)
-        .join(shares.filter("_times > 0"), "_key")
-        .dropDuplicates(["_key"])
-        .withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-        .drop("_key", "_times", "_time")
-    )
+    once = docs.withColumn(key, own).join(shares, key).dropDuplicates([key])
+    return once.withColumn(key, F.explode(F.sequence(F.lit(1), F.col(many)))).select(docs.columns)

@@ -24,6 +24,14 @@ def saved(df: DataFrame, name: str, partition_by: str | None = None) -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a table that ``saved`` wrote and nothing reads any more."""
     spark = df.sparkSession

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import saved
+from .shared import fresh, saved
 
 KEY = "surrogate-key-1"
 ROUNDS = 16  # of collision checks before giving up
@@ -226,12 +226,13 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
     an empty one empty, equal rows stay equal. An empty table gives an empty result.
     """
     may = F.coalesce(F.col("text").rlike(_MAY), F.lit(False))
+    print_, puts, many = (fresh(docs, c) for c in ("_print", "_puts", "_many"))
     # Of equal texts one is searched: results depend on the text alone.
-    print_ = F.struct(F.xxhash64("text").alias("a"), F.hash("text").alias("b"), F.length("text").alias("c"))
+    same = F.struct(F.xxhash64("text").alias("a"), F.hash("text").alias("b"), F.length("text").alias("c"))
     hits = docs.filter(may)
-    found = hits.select(print_.alias("_print"), F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)).alias("found"))
-    found = saved(found.filter(F.size("found") > 0).groupBy("_print").agg(F.max("found").alias("found")), "entities")
-    spots = found.select("_print", F.posexplode("found").alias("spot", "value"))
+    found = hits.select(same.alias(print_), F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)).alias("found"))
+    found = saved(found.filter(F.size("found") > 0).groupBy(print_).agg(F.max("found").alias("found")), "entities")
+    spots = found.select(print_, F.posexplode("found").alias("spot", "value"))
     parts = saved(entity_parts(spots.select("value").distinct()), "entity_parts")
     names = dictionary(parts, key)
     piece = F.struct("place", F.concat("before", "surrogate").alias("piece"))
@@ -239,22 +240,22 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
     values = saved(values.select("value", F.array_join("pieces.piece", "").alias("surrogate")), "entity_surrogates")
     placed = (
         spots.join(values, "value", "left")
-        .groupBy("_print")
+        .groupBy(print_)
         .agg(
-            F.sort_array(F.collect_list(F.struct("spot", F.coalesce("surrogate", "value").alias("put")))).alias("_puts"),
-            F.count("surrogate").alias("_many"),
+            F.sort_array(F.collect_list(F.struct("spot", F.coalesce("surrogate", "value").alias("put")))).alias(puts),
+            F.count("surrogate").alias(many),
         )
-        .select("_print", F.col("_puts.put").alias("_puts"), "_many")
+        .select(print_, F.col(f"{puts}.put").alias(puts), many)
     )
     placed = saved(placed, "entity_places")
     between = F.split("text", PATTERN, -1)
-    merged = F.array_join(F.flatten(F.zip_with(between, "_puts", lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
+    merged = F.array_join(F.flatten(F.zip_with(between, puts, lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
     changed = (
-        hits.withColumn("_print", print_)
-        .join(placed, "_print", "left")
-        .withColumn("text", F.when(F.col("_many") > 0, merged).otherwise(F.col("text")))
-        .withColumn("n_entities", F.coalesce("_many", F.lit(0)).cast("long"))
-        .drop("_print", "_puts", "_many")
+        hits.withColumn(print_, same)
+        .join(placed, print_, "left")
+        .withColumn("text", F.when(F.col(many) > 0, merged).otherwise(F.col("text")))
+        .withColumn("n_entities", F.coalesce(many, F.lit(0)).cast("long"))
+        .drop(print_, puts, many)
     )
     out = changed.unionByName(docs.filter(~may).withColumn("n_entities", F.lit(0).cast("long")))
     if "n_chars" in docs.columns:
