@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import drop_shuffles, saved
+from .shared import discard, drop_shuffles, saved
 
 BINS = 256
 BITS = 8
@@ -140,49 +140,56 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     (null first), then of the text's digest; equal rows are one after another.
     A single document follows itself. An empty table gives an empty result.
     """
-    # Rows of equal id and text are numbered by what may come in any order: they are equal.
-    text = F.coalesce("text", F.lit("")).alias("text")
-    docs = docs.select("doc_id", text)
-    # Documents that share id and text are one row with a count until the end.
-    key = F.struct(F.col("doc_id"), F.xxhash64("text").alias("digest")).alias("key")
-    keyed = docs.select(key, "text")
-    classes = keyed.groupBy("key").agg(F.count("*").alias("copies"), F.max(F.char_length("text")).alias("n_chars"))
+    # Documents that share id and text are one row with a count until the end. Keys are plain
+    # columns that are never null, so that both joins find the texts where one shuffle put them.
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    keyed = docs.withColumn("k1", F.coalesce("doc_id", F.lit(-(2**63)))).withColumn("k2", F.xxhash64(F.col("doc_id").isNull(), "text"))
+    classes = keyed.groupBy("k1", "k2").agg(
+        F.max("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.max(F.char_length("text")).alias("n_chars")
+    )
+    classes = classes.select(F.struct("k1", "k2").alias("key"), "doc_id", "copies", "n_chars")
     ordered = saved(followers(classes), "print_next")
     # Of copies all but the last are followed by a copy: two rows, for these and for the last.
-    lent = F.floor(F.col("n_chars") / 4).cast("int")
-    moves = ordered.select("key", "copies", "n_chars", "next", lent.alias("lent"))
-    own = F.col("copies") > 1
-    kinds = F.when(own, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))
-    moves = (
-        moves.withColumn("inner", F.explode(kinds))
-        .withColumn("next", F.when(F.col("inner"), F.col("key")).otherwise(F.col("next")))
-        .withColumn("copies", F.when(F.col("inner"), F.col("copies") - 1).otherwise(F.lit(1)))
+    kinds = F.when(F.col("copies") > 1, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))
+    lent = F.floor(F.col("n_chars") / 4).cast("int").alias("lent")
+    moves = ordered.withColumn("inner", F.explode(kinds)).select(
+        "key.k1",
+        "key.k2",
+        "doc_id",
+        "inner",
+        F.when(F.col("inner"), F.col("key")).otherwise(F.col("next")).alias("next"),
+        F.when(F.col("inner"), F.col("copies") - 1).otherwise(F.lit(1)).alias("copies"),
+        "n_chars",
+        lent,
     )
-    turn = Window.partitionBy("key").orderBy("key")
-    one = keyed.withColumn("_turn", F.row_number().over(turn)).filter("_turn = 1").drop("_turn")
+    moves = moves.select("*", F.coalesce("next.k1", F.lit(0)).alias("n1"), F.coalesce("next.k2", F.lit(0)).alias("n2")).drop("next")
+    turn = Window.partitionBy("k1", "k2").orderBy("k1")
+    one = keyed.select("k1", "k2", "text").withColumn("_turn", F.row_number().over(turn)).filter("_turn = 1").drop("_turn")
     heads = (
-        one.withColumnRenamed("key", "next")
-        .join(moves, "next")
-        .select("key", "inner", "next", "copies", "n_chars", "lent", F.substring("text", F.lit(1), F.col("lent")).alias("head"))
+        one.select(F.col("k1").alias("n1"), F.col("k2").alias("n2"), "text")
+        .join(moves, ["n1", "n2"])
+        .withColumn("head", F.substring("text", F.lit(1), F.col("lent")))
+        .drop("text")
     )
     # Written before the texts are shuffled once more, so that only one such shuffle is on disk at a time.
     heads = saved(heads, "print_heads")
     drop_shuffles(docs.sparkSession)
     edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - F.col("lent")), F.col("head"))
-    texts = one.join(heads, "key").withColumn("edited", edited)
+    texts = one.join(heads, ["k1", "k2"]).withColumn("edited", edited)
     texts = texts.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
     both = with_fingerprint(with_fingerprint(texts, "text", "own"), "edited", "other")
-    done = saved(
-        both.select("key", "inner", "next", "copies", "n_chars", "edited_sha256", "own", "other"), "prints"
-    )
-    following = done.filter(~F.col("inner")).select(F.col("key").alias("next"), F.col("own").alias("next_own"))
+    kept = ["k1", "k2", "n1", "n2", "doc_id", "inner", "copies", "n_chars", "edited_sha256", "own", "other"]
+    done = saved(both.select(kept), "prints")
+    discard(heads)
+    drop_shuffles(docs.sparkSession)
+    following = done.filter(~F.col("inner")).select(F.col("k1").alias("n1"), F.col("k2").alias("n2"), F.col("own").alias("next_own"))
     return (
-        done.join(following, "next")
+        done.join(following, ["n1", "n2"])
         .withColumn("near_edited", likeness(F.col("own"), F.col("other")))
         .withColumn("near_next", likeness(F.col("own"), F.col("next_own")))
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
         .select(
-            F.col("key.doc_id").alias("doc_id"),
+            "doc_id",
             F.col("n_chars").cast("long").alias("n_chars"),
             "edited_sha256",
             as_text(F.col("own")).alias("fingerprint"),
