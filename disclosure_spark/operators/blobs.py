@@ -33,19 +33,22 @@ def plan_downloads(
     *,
     source: str,
     file_type: str,
-    max_files: int,
+    max_files: int | None,
     max_size: int | None = None,
     suffix: str | None = None,
-    order: Sequence[str] = ("pos",),
+    order: Sequence[str] | None = None,
 ) -> DataFrame:
     """The first ``max_files`` blobs of a type in listing order, with their path.
 
     Both filters reach the scan; the limit becomes a top-k, in which no task
-    passes on more than ``max_files`` rows.
+    passes on more than ``max_files`` rows. None takes all, without a sort. Without
+    ``order`` a listing of several pages is in the order of page, then pos.
     """
     _, selected = _selected(suffix or SUFFIXES[file_type], max_size)
-    keys = list(dict.fromkeys([*order, "name", "size"]))
-    planned = listing.filter(selected).orderBy(*keys).limit(max_files)
+    planned = listing.filter(selected)
+    if max_files is not None:
+        order = order or [c for c in ("page", "pos") if c in listing.columns]
+        planned = planned.orderBy(*dict.fromkeys([*order, "name", "size"])).limit(max_files)
     return planned.withColumn("path", landing_path(source, file_type))
 
 
@@ -53,17 +56,18 @@ def funnel(
     listing: DataFrame,
     *,
     file_type: str,
-    max_files: int,
+    max_files: int | None,
     max_size: int | None = None,
     suffix: str | None = None,
 ) -> DataFrame:
     """How many blobs remain after each step of the selection."""
     of_type, selected = _selected(suffix or SUFFIXES[file_type], max_size)
+    kept = F.count_if(selected)
     return listing.agg(
         F.count("*").alias("total"),
         F.count_if(of_type).alias("after_suffix"),
         F.count_if(selected).alias("after_size"),
-        F.least(F.count_if(selected), F.lit(max_files).cast("bigint")).alias("after_limit"),
+        (kept if max_files is None else F.least(kept, F.lit(max_files).cast("bigint"))).alias("after_limit"),
     )
 
 

@@ -44,7 +44,7 @@ def fetch(
         import pyarrow as pa
         from pyarrow import fs
 
-        store, base = fs.FileSystem.from_uri(root)
+        store, base = fs.FileSystem.from_uri(root.replace("s3a://", "s3://", 1))
         text = pa.string()
         report_schema = pa.schema(
             [("path", text), ("status", text), ("bytes", pa.int64()), ("error", text)]
@@ -68,6 +68,9 @@ def fetch(
                         while chunk := source.read(chunk_bytes):
                             sink.write(chunk)
                             size += len(chunk)
+                    expected = source.headers.get("Content-Length")
+                    if expected is not None and size != int(expected):
+                        raise OSError(f"{size} of {expected} bytes came")
                 except BaseException:
                     store.delete_file(partial)
                     raise

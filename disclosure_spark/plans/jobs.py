@@ -10,6 +10,7 @@ from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalars import date_prefix
 from ..operators.blobs import mark_landed, plan_downloads, status_counts
 from ..operators.flatten import flatten_by_date
 from ..operators.landing import fetch
@@ -96,6 +97,7 @@ class TransformResult:
     rows: int
     null_counts: dict[str, int]
     stage: str
+    dates: list[str]  # of the documents read; what a load of this run takes
 
 
 def transform(
@@ -131,18 +133,33 @@ def transform(
             f"{found['rejects']} documents could not be parsed, {max_rejects} allowed; see {stage}"
         )
 
-    counted = write_flat(spark.read.parquet(stage), processed, processed_at, partitions)
+    staged = spark.read.parquet(stage)
+    dates, undated = document_dates(staged)
+    if undated and found["rejects"] + undated > max_rejects:
+        raise RejectedDocumentsError(f"{undated} documents have no date in their name, {max_rejects} rejects allowed; see {stage}")
+    dated = staged.filter(F.date_format(F.try_to_timestamp(date_prefix("source_file"), F.lit("yyyy-MM-dd")), "yyyy-MM-dd").isNotNull())
+    counted = write_flat(dated if undated else staged, processed, processed_at, partitions)
     if not counted.get("rows"):
         raise EmptyResultError("the documents gave no rows; check the input files")
     return TransformResult(
         documents=found["documents"],
-        rejects=found["rejects"],
+        rejects=found["rejects"] + undated,
         rows=counted["rows"],
         null_counts={c: counted[c] for c in FLAT_NAMES},
         stage=stage,
+        dates=dates,
     )
 
 
+def document_dates(documents: DataFrame) -> tuple[list[str], int]:
+    """The dates in the names of documents (few), and how many documents have none."""
+    found = documents.groupBy(
+        F.date_format(F.try_to_timestamp(date_prefix("source_file"), F.lit("yyyy-MM-dd")), "yyyy-MM-dd").alias("date")
+    ).count()
+    counts = {row["date"]: row["count"] for row in found.collect()}
+    return sorted(d for d in counts if d), counts.get(None, 0)
+
+
 def stage_documents(documents: DataFrame, stage: str) -> None:
     """Keep nested documents as Parquet, in row groups small enough to share out.
 

@@ -24,11 +24,12 @@ def read_index_files(spark: SparkSession, path: str, dates: Sequence[str] | None
     return table.filter(F.col(PARTITION_COLUMN).isin([F.to_date(F.lit(d)) for d in dates]))
 
 
-def read_csv_export(spark: SparkSession, path: str, na_texts: Sequence[str] = tuple(NA_TEXTS)) -> DataFrame:
+def read_csv_export(spark: SparkSession, path: str, na_texts: Sequence[str] = tuple(NA_TEXTS), multi_line: bool = False) -> DataFrame:
     """A CSV export of the 18-column table, typed, with missing-value texts as null.
 
     Header names match in any case, in table order; a different header is an
-    error. ``plan_id`` is read as text, so leading zeros survive.
+    error, and so is a row with more or fewer fields. ``plan_id`` is read as text, so
+    leading zeros survive. ``multi_line`` reads line breaks inside quotes; such a file cannot be split.
     """
     text_schema = ", ".join(f"{c.name} string" for c in TABLE_COLUMNS)
     rows = (
@@ -37,6 +38,8 @@ def read_csv_export(spark: SparkSession, path: str, na_texts: Sequence[str] = tu
         .option("enforceSchema", False)
         .option("quote", '"')
         .option("escape", '"')
+        .option("mode", "FAILFAST")
+        .option("multiLine", multi_line)
         .csv(path)
     )
     return rows.select(

@@ -197,3 +197,13 @@ def test_fetch_taken_up_again(spark, tmp_path):
     (remote / "b").write_bytes(b"y")
     assert outcome("r2") == {"d/a": ("downloaded", 3_000_000), "d/b": ("downloaded", 1)} | outside
     assert not (tmp_path / "c").exists()
+
+
+def test_all_files_without_a_sort(spark):
+    listing = spark.createDataFrame([(2, 0, "b_index.json", 1), (1, 0, "a_index.json", 1), (1, 1, "c_index.json", 1)], "page int, pos long, name string, size long")
+    plan = blobs.plan_downloads(listing, source="s", file_type="index", max_files=None)
+    assert plan.count() == 3
+    assert "TakeOrdered" not in plan._jdf.queryExecution().executedPlan().toString()
+    first = blobs.plan_downloads(listing, source="s", file_type="index", max_files=2)
+    assert [r["name"] for r in first.collect()] == ["a_index.json", "c_index.json"], "pages before places"
+    assert blobs.funnel(listing, file_type="index", max_files=None).first()["after_limit"] == 3

@@ -151,11 +151,14 @@ def test_refused_row_leaves_the_table_as_it_was(spark, zone, tmp_path, values, m
     assert {r["source_file"] for r in refused.collect()} == {f"{JUNE}_bad_index.json"}
 
 
-def test_file_name_without_a_date_is_refused_by_the_load(spark, zone, tmp_path):
+def test_file_name_without_a_date_is_a_reject(spark, zone, tmp_path):
     write_document(tmp_path / "raw", "undated_index.json", document(STRUCTURE))
-    jobs.transform(spark, zone["raw"], zone["processed"])
-    with pytest.raises(Exception, match="reporting_date must be a date, not undated_in"):
-        jobs.load(spark, zone["processed"], zone["table"])
+    write_document(tmp_path / "raw", f"{JUNE}_dated_index.json", document(STRUCTURE))
+    with pytest.raises(jobs.RejectedDocumentsError, match="1 documents have no date"):
+        jobs.transform(spark, zone["raw"], zone["processed"])
+    done = jobs.transform(spark, zone["raw"], zone["processed"], max_rejects=1)
+    assert done.rejects == 1 and done.dates == [JUNE] and "undated_in" not in done.dates
+    assert jobs.load(spark, zone["processed"], zone["table"], dates=done.dates) == done.rows
 
 
 def test_load_into_catalog_table(spark, zone, tmp_path):
