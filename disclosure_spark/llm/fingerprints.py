@@ -21,7 +21,6 @@ SPACE = r"[\x20\x09-\x0D]+"
 _VALUE = 56  # bits below the bin's number
 _NO_VALUE = (1 << _VALUE) - 1
 _PER_LONG = 64 // BITS
-_LONGS = BINS // _PER_LONG
 _HALF = BINS // 2
 
 
@@ -31,57 +30,63 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     A text of fewer than five words has one shingle, all of its words. What is
     read inside a lambda is a column made in a step before, computed once per row.
     """
-    w, h, v, b, d = (f"_{out}_{x}" for x in "whvbd")
-    none = F.array().cast("array<bigint>")
+    w, n, g, h, v, b, d = (f"_{out}_{x}" for x in "wnghvbd")
+    none = F.slice(F.array(F.lit(0).cast("bigint")), 1, 0)
     # An entry for each bin, greater than any hash in it, so that every bin has a first.
     last = F.array(*[F.lit(((i - _HALF) << _VALUE) | _NO_VALUE) for i in range(BINS)])
-    words = F.filter(F.split(F.coalesce(text, F.lit("")), SPACE, -1), lambda x: x != "")
-    shingles = (
-        F.when(F.size(w) == 0, none)
-        .when(F.size(w) < WORDS, F.array(F.xxhash64(F.array_join(w, " "))))
-        .otherwise(
-            F.transform(
-                F.sequence(F.lit(0), F.greatest(F.size(w) - WORDS, F.lit(0))),
-                lambda i: F.xxhash64(*[F.get(F.col(w), i + j) for j in range(WORDS)]),
-            )
-        )
-    )
+    words = F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE, -1), "")
     bin_of = lambda x: F.shiftright(x, _VALUE)
     missing = lambda x: x.bitwiseAND(F.lit(_NO_VALUE)) == _NO_VALUE
 
+    def joined(x: str, y: str, apart: int) -> Column:
+        """Hashes of the entries of ``x`` with those of ``y`` so many places on; the last ones lack a partner."""
+        later = F.slice(F.col(y), F.lit(apart + 1), F.size(y))
+        return F.zip_with(x, later, lambda p, q: F.xxhash64(p, q))
+
     def borrowed(i: Column) -> Column:
         def probe(k: int) -> Column:
-            x = F.get(F.col(v), F.pmod(F.xxhash64(i, F.lit(k)), F.lit(BINS)).cast("int"))
-            return F.when(~missing(x), x)
+            return F.get(F.col(v), F.xxhash64(i, F.lit(k)).bitwiseAND(F.lit(BINS - 1)).cast("int"))
 
         nearest = F.transform(F.col(b), lambda x: F.struct(F.xxhash64(i, bin_of(x)).alias("o"), x.alias("x")))
         return F.coalesce(*[probe(k) for k in range(PROBES)], F.array_min(nearest)["x"])
 
-    low = lambda k: F.get(F.col(d), k).bitwiseAND(F.lit((1 << BITS) - 1))
-
     def packed(k: Column) -> Column:
-        bits = low(k * _PER_LONG)
+        """One long of the low bits of the bins from ``k`` on."""
+        bits = F.get(F.col(d), k)
         for j in range(1, _PER_LONG):
-            bits = bits.bitwiseOR(F.shiftleft(low(k * _PER_LONG + j), BITS * j))
+            bits = bits.bitwiseOR(F.shiftleft(F.get(F.col(d), k + j), BITS * j))
         return bits
 
-    numbers = lambda n: F.sequence(F.lit(0), F.lit(n - 1))
+    low = lambda x: x.bitwiseAND(F.lit((1 << BITS) - 1))
+    starts = F.sequence(F.lit(0), F.lit(BINS - 1), F.lit(_PER_LONG))
+    runs = F.slice(joined(h, g, WORDS - 1), F.lit(1), F.greatest(F.col(n) - WORDS + 1, F.lit(0)))
     return (
         df.withColumn(w, words)
-        .withColumn(h, F.sort_array(F.concat(shingles, last)))
-        .withColumn(w, F.size(w) > 0)
+        .withColumn(n, F.size(w))
+        # Hashes of words, of two words, of four, and of five: every entry is hashed with few others.
+        .withColumn(g, F.transform(w, lambda x: F.xxhash64(x)))
+        .withColumn(h, joined(g, g, 1))
+        .withColumn(h, joined(h, h, 2))
+        .withColumn(
+            h,
+            F.when(F.col(n) == 0, none).when(F.col(n) < WORDS, F.array(F.xxhash64(F.array_join(w, " ")))).otherwise(runs),
+        )
+        .drop(w, g)
+        .withColumn(h, F.sort_array(F.concat(h, last)))
+        # The first of every bin, null in a bin without a shingle.
         .withColumn(v, F.filter(h, lambda x, i: (i == 0) | (bin_of(x) != bin_of(F.get(F.col(h), i - 1)))))
         .drop(h)
-        .withColumn(b, F.filter(v, lambda x: ~missing(x)))
+        .withColumn(v, F.transform(v, lambda x: F.when(~missing(x), x)))
+        .withColumn(b, F.array_compact(v))
         .withColumn(
             d,
-            F.when(~F.col(w), none)
-            .when(F.size(b) == BINS, F.col(v))
-            .otherwise(F.transform(v, lambda x, i: F.when(missing(x), borrowed(i)).otherwise(x))),
+            F.when(F.col(n) == 0, none)
+            .when(F.size(b) == BINS, F.transform(v, low))
+            .otherwise(F.transform(v, lambda x, i: low(F.coalesce(x, borrowed(i))))),
         )
         .drop(v, b)
-        .withColumn(out, F.when(~F.col(w), none).otherwise(F.transform(numbers(_LONGS), packed)))
-        .drop(w, d)
+        .withColumn(out, F.when(F.col(n) == 0, none).otherwise(F.transform(starts, packed)))
+        .drop(n, d)
     )
 
 
