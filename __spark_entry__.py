@@ -93,17 +93,24 @@ def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.landed_blobs(spark, sf_dir).select(path, "size")
 
 
+def _whole_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blobs of all types and sizes."""
+    listing = fixtures.blob_listing(spark, sf_dir)
+    return blobs.plan_downloads(listing, source="mrf", file_type=BLOBS["file_type"], max_files=None, suffix="")
+
+
 def _blob_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blobs.funnel(fixtures.blob_listing(spark, sf_dir), **BLOBS)
 
 
 def _blob_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blobs.pending(_plan(spark, sf_dir), _landed(spark, sf_dir))
+    return blobs.pending(_whole_plan(spark, sf_dir), _landed(spark, sf_dir))
 
 
 def _blob_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked = blobs.mark_landed(_plan(spark, sf_dir), _landed(spark, sf_dir))
-    return blobs.status_counts(marked)
+    marked = blobs.mark_landed(_whole_plan(spark, sf_dir), _landed(spark, sf_dir))
+    marked = marked.unionByName(marked.filter("collision").withColumn("status", F.lit("collision")))
+    return blobs.status_counts(marked, ("pending", "skipped", "collision"))
 
 
 def library_queries() -> dict[str, Query]:
@@ -224,11 +231,23 @@ WITH listing AS (
     SELECT * FROM pathed
     WHERE name LIKE '%\\_in-network-rates.json.gz' ESCAPE '\\' AND size <= 5000
     ORDER BY pos LIMIT 200
+), turned AS (
+    SELECT *, name || chr(10) || "downloadUrl" <> first_value(name || chr(10) || "downloadUrl") OVER (PARTITION BY path ORDER BY pos)
+               AS collision,
+           pos > min(pos) OVER (PARTITION BY path, name, "downloadUrl") AS repeated
+    FROM pathed
+), own AS (
+    SELECT pos, name, size, "downloadUrl", collision, repeated,
+           CASE WHEN collision
+                THEN 'mrf/in_network_rates/' || substr(name, 1, 10) || '/'
+                     || substr(plain, 1, least(length(plain) - length(suffix), 113 - length(suffix))) || '-'
+                     || substr(md5(name || chr(10) || "downloadUrl"), 1, 16) || suffix
+                ELSE path END AS path
+    FROM turned JOIN (SELECT DISTINCT pos, plain, suffix FROM renamed) USING (pos)
 ), marked AS (
-    SELECT *, CASE WHEN path IN (SELECT path FROM pathed WHERE pos IN (SELECT doc_id FROM labels))
-                     OR row_number() OVER (PARTITION BY path ORDER BY pos) > 1
+    SELECT *, CASE WHEN path IN (SELECT path FROM pathed WHERE pos IN (SELECT doc_id FROM labels)) OR repeated
                    THEN 'skipped' ELSE 'pending' END AS status
-    FROM plan
+    FROM own
 )
 """
 
@@ -393,7 +412,9 @@ def oracle_sql() -> dict[str, str]:
         "blob_status": """
             SELECT 'pending' AS status, count(*) FILTER (WHERE status = 'pending') AS files FROM marked
             UNION ALL
-            SELECT 'skipped', count(*) FILTER (WHERE status = 'skipped') FROM marked""",
+            SELECT 'skipped', count(*) FILTER (WHERE status = 'skipped') FROM marked
+            UNION ALL
+            SELECT 'collision', count(*) FILTER (WHERE collision) FROM marked""",
     }
     sql = {k: _FILES + v for k, v in on_files.items()} | {k: _BLOBS + v for k, v in on_blobs.items()}
     return sql | (llm.oracle_sql() if llm else {})

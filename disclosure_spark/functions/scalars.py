@@ -28,16 +28,27 @@ def name_suffixes(name: Column) -> Column:
     return F.when(name.endswith("."), F.lit("")).otherwise(suffix)
 
 
-def landing_name(name: str | Column, max_length: int = MAX_NAME_LENGTH) -> Column:
-    """File name in the landing zone: no spaces, shortened but for its suffixes.
+def visible(name: str | Column) -> Column:
+    """No part of a path starts with ``_`` or ``.``, as Spark's readers pass over such files: ``x`` goes before it."""
+    return F.regexp_replace(name, r"(^|/)(?=[_.])", "$1x")
+
+
+def landing_name(name: str | Column, max_length: int = MAX_NAME_LENGTH, mark: Column | None = None) -> Column:
+    """File name in the landing zone: visible, no spaces, shortened but for its suffixes.
 
     When the suffixes alone exceed the bound the stem loses their excess from
-    its end, so such a name may stay longer than ``max_length``.
+    its end but for one character, so such a name may stay longer than ``max_length``. With ``mark``
+    the stem ends in a hyphen and this text, for a name that must differ from others.
     """
-    name = F.translate(name, " ", "_")
-    suffix = name_suffixes(name)
+    plain = F.translate(name, " ", "_")
+    suffix = name_suffixes(plain)
+    name = visible(plain)
+    if mark is not None:
+        stem = F.substring(name, F.lit(1), F.length(name) - F.length(suffix))
+        room = F.greatest(F.lit(max_length) - F.length(suffix) - F.length(mark) - 1, F.lit(1))
+        return F.concat(F.substring(stem, F.lit(1), room), F.lit("-"), mark, suffix)
     room = F.lit(max_length) - F.length(suffix)
-    kept = F.when(room >= 0, room).otherwise(F.greatest(F.length(name) + room, F.lit(0)))
+    kept = F.when(room >= 0, room).otherwise(F.greatest(F.length(name) + room, F.lit(1)))
     short = F.concat(F.substring(name, F.lit(1), kept), suffix)
     return F.when(F.length(name) > max_length, short).otherwise(name)
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import FLAT_COLUMNS, LOADED_AT, PARTITION_COLUMN, TABLE_COLUMNS, FlatColumn
+from ..workspace import delete_path
 
 
 def with_partition_column(df: DataFrame) -> DataFrame:
@@ -31,6 +33,18 @@ def replace_partitions(df: DataFrame, path: str) -> None:
     )
 
 
+def drop_dates(spark: SparkSession, path: str, dates: Sequence[str]) -> None:
+    """Remove the partitions of these dates below ``path``, where there are any."""
+    for date in dates:
+        delete_path(spark, f"{path.rstrip('/')}/{PARTITION_COLUMN}={date}")
+
+
+def drop_table_dates(spark: SparkSession, table: str, dates: Sequence[str]) -> None:
+    """Like :func:`drop_dates`, for a catalog table."""
+    for date in dates:
+        spark.sql(f"ALTER TABLE {quoted(table)} DROP IF EXISTS PARTITION ({PARTITION_COLUMN} = DATE {_literal(date)})")
+
+
 def to_table_rows(df: DataFrame, loaded_at: datetime | Column | None = None) -> DataFrame:
     """The 18 typed columns of the table, and the partition column.
 

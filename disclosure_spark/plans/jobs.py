@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import date_prefix
 from ..operators.blobs import mark_landed, plan_downloads, status_counts
-from ..operators.flatten import flatten_by_date
+from ..operators.flatten import flatten_by_date, rows_of_document
 from ..operators.landing import fetch
 from ..operators.quality import (
     EmptyResultError,
@@ -23,6 +23,8 @@ from ..operators.quality import (
     verify_counts,
 )
 from ..operators.store import (
+    drop_dates,
+    drop_table_dates,
     quoted,
     replace_partitions,
     replace_table_partitions,
@@ -33,7 +35,7 @@ from ..schemas import CORRUPT_COLUMN, FLAT_NAMES, PARTITION_COLUMN
 from ..sources.documents import read_index_documents
 from ..sources.listing import read_landed, read_listing
 from ..sources.tables import read_index_files
-from ..workspace import run_path
+from ..workspace import delete_path, run_path
 
 STAGE_ROW_GROUP_BYTES = 16 << 20
 
@@ -45,7 +47,7 @@ def extract(
     *,
     source: str,
     file_type: str,
-    max_files: int,
+    max_files: int | None,
     max_size: int | None = None,
     suffix: str | None = None,
     headers: Mapping[str, str] | None = None,
@@ -53,7 +55,7 @@ def extract(
 ) -> dict[str, int]:
     """Land the planned blobs of a listing below ``root``; skip those already there.
 
-    Returns the files downloaded, skipped and failed. A run that was stopped or
+    Returns the files downloaded, skipped and failed, and how many of all had a collision of paths. A run that was stopped or
     had failures is taken up again by running it once more.
     """
     run = run_path(spark, "extract")
@@ -85,7 +87,11 @@ def extract(
         marked.filter(F.col("status") == "skipped").select("status")
     )
     counts = status_counts(statuses, ("downloaded", "skipped", "failed"))
-    return {row["status"]: row["files"] for row in counts.collect()}
+    found = {row["status"]: row["files"] for row in counts.collect()}
+    found["collision"] = marked.filter("collision").count()
+    if not found["failed"]:
+        delete_path(spark, run)
+    return found
 
 
 @dataclass(frozen=True)
@@ -96,7 +102,7 @@ class TransformResult:
     rejects: int
     rows: int
     null_counts: dict[str, int]
-    stage: str
+    stage: str | None  # None once it is deleted
     dates: list[str]  # of the documents read; what a load of this run takes
 
 
@@ -118,9 +124,11 @@ def transform(
     document and reject counts are exact also after the loss of an executor,
     and they are checked before anything in ``processed`` changes. The flatten
     then reads the columnar copy, and a lost task costs no second parse.
+    The dates of the documents are replaced, also one whose documents now give no rows.
+    A stage that the caller did not name is deleted unless there are rejects or a failure.
     """
     processed_at = processed_at or datetime.now()
-    stage = stage or run_path(spark, "transform")
+    keep_stage, stage = stage is not None, stage or run_path(spark, "transform")
 
     read = Observation("documents")
     documents = read_index_documents(spark, raw, pattern)
@@ -134,30 +142,39 @@ def transform(
         )
 
     staged = spark.read.parquet(stage)
-    dates, undated = document_dates(staged)
+    rows_by_date, undated = document_dates(staged)
     if undated and found["rejects"] + undated > max_rejects:
         raise RejectedDocumentsError(f"{undated} documents have no date in their name, {max_rejects} rejects allowed; see {stage}")
-    dated = staged.filter(F.date_format(F.try_to_timestamp(date_prefix("source_file"), F.lit("yyyy-MM-dd")), "yyyy-MM-dd").isNotNull())
-    counted = write_flat(dated if undated else staged, processed, processed_at, partitions)
-    if not counted.get("rows"):
+    if not any(rows_by_date.values()):
         raise EmptyResultError("the documents gave no rows; check the input files")
+    dated = staged.filter(_date().isNotNull())
+    counted = write_flat(dated if undated else staged, processed, processed_at, partitions)
+    drop_dates(spark, processed, [d for d, rows in rows_by_date.items() if not rows])
+    rejects = found["rejects"] + undated
+    if not (keep_stage or rejects):
+        delete_path(spark, stage)
+        stage = None
     return TransformResult(
         documents=found["documents"],
-        rejects=found["rejects"] + undated,
+        rejects=rejects,
         rows=counted["rows"],
         null_counts={c: counted[c] for c in FLAT_NAMES},
         stage=stage,
-        dates=dates,
+        dates=sorted(rows_by_date),
     )
 
 
-def document_dates(documents: DataFrame) -> tuple[list[str], int]:
-    """The dates in the names of documents (few), and how many documents have none."""
-    found = documents.groupBy(
-        F.date_format(F.try_to_timestamp(date_prefix("source_file"), F.lit("yyyy-MM-dd")), "yyyy-MM-dd").alias("date")
-    ).count()
-    counts = {row["date"]: row["count"] for row in found.collect()}
-    return sorted(d for d in counts if d), counts.get(None, 0)
+def _date() -> Column:
+    prefix = F.try_to_timestamp(date_prefix("source_file"), F.lit("yyyy-MM-dd"))
+    return F.date_format(prefix, "yyyy-MM-dd")
+
+
+def document_dates(documents: DataFrame) -> tuple[dict[str, int], int]:
+    """The flat rows of each date in the names of documents (few), and how many documents have none."""
+    found = documents.groupBy(_date().alias("date")).agg(F.count("*").alias("documents"), F.sum(rows_of_document()).alias("rows"))
+    by_date = {row["date"]: row for row in found.collect()}
+    undated = by_date.pop(None, None)
+    return {d: row["rows"] or 0 for d, row in by_date.items()}, undated["documents"] if undated else 0
 
 
 def stage_documents(documents: DataFrame, stage: str) -> None:
@@ -199,7 +216,8 @@ def load(
 ) -> int:
     """Load processed dates into the table at path ``target`` (or catalog ``table``).
 
-    Each date of the batch replaces that date in the table and all others stay.
+    Each date of the batch replaces that date in the table and all others stay. A date named
+    in ``dates`` of which nothing is left in ``processed`` is removed, if others have rows.
     Casts and required columns are checked in the writing job itself, which
     publishes nothing when it fails; afterwards the rows of every date are
     compared with the source. Returns the rows loaded. No shuffle: the
@@ -210,11 +228,17 @@ def load(
     source = read_index_files(spark, processed, dates)
     if source.isEmpty():
         raise EmptyResultError(f"no rows to load in {processed}")
+    emptied = []
+    if dates is not None:
+        present = {str(r[0]) for r in source.select(PARTITION_COLUMN).distinct().collect()}
+        emptied = sorted({str(d) for d in dates} - present)
     rows = to_table_rows(source, loaded_at)
     if table is not None:
         replace_table_partitions(rows, table)
+        drop_table_dates(spark, table, emptied)
         loaded = spark.table(quoted(table))
     else:
         replace_partitions(rows, target)
+        drop_dates(spark, target, emptied)
         loaded = spark.read.parquet(target)
     return verify_counts(source, loaded, PARTITION_COLUMN)

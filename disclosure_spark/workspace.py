@@ -20,7 +20,7 @@ def workspace(spark: SparkSession, *parts: str) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         context = spark.sparkContext
-        if not context.master.startswith("local"):
+        if context.master.partition("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         app = context.applicationId
         if app not in _local_roots:
@@ -32,3 +32,9 @@ def workspace(spark: SparkSession, *parts: str) -> str:
 def run_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one run of the job ``name``."""
     return workspace(spark, name, uuid.uuid4().hex)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

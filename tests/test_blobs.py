@@ -2,7 +2,7 @@
 
 import itertools
 import json
-from pathlib import Path, PurePosixPath
+from pathlib import Path
 
 import pytest
 from support import document, plan, write_document
@@ -85,43 +85,71 @@ def test_status(spark, listing):
         [("src/index/2026-06-01/2026-06-01_a_index.json", 4), ("src/index/other", 1)],
         "path string, size bigint",
     )
-    # The third path equals the second one, and the last two blobs are the same.
+    # The third path would equal the second one, and the last two blobs are the same.
     assert statuses(planned, landed) == [
-        (0, "skipped"), (1, "pending"), (2, "skipped"), (3, "pending"), (4, "skipped"),
+        (0, "skipped"), (1, "pending"), (2, "pending"), (3, "pending"), (4, "skipped"),
     ]
-    assert names(blobs.pending(planned, landed)) == ["2026-06-01_b c_index.json", "2026-06-01_d_index.json"]
+    assert names(blobs.pending(planned, landed)) == [f"2026-06-01_{x}_index.json" for x in ("b c", "b_c", "d")]
     counts = blobs.status_counts(blobs.mark_landed(planned, landed))
-    assert {r["status"]: r["files"] for r in counts.collect()} == {"pending": 2, "skipped": 3}
+    assert {r["status"]: r["files"] for r in counts.collect()} == {"pending": 3, "skipped": 2}
     none = blobs.status_counts(blobs.mark_landed(planned.limit(0), landed))
     assert {r["status"]: r["files"] for r in none.collect()} == {"pending": 0, "skipped": 0}
 
 
-def shortened(name: str) -> str:
-    """The rule, stated on Python strings."""
-    name = name.replace(" ", "_")
-    if len(name) <= 130:
-        return name
-    stem = PurePosixPath(name).name
-    ext = "" if stem.endswith(".") else "".join("." + s for s in stem.lstrip(".").split(".")[1:])
-    return name[: 130 - len(ext)] + ext
+# Names and where they land, worked out by hand.
+LANDED_NAMES = {
+    "a_index.json": "a_index.json",
+    "a b c.json": "a_b_c.json",
+    "_hidden_index.json": "x_hidden_index.json",
+    ".hidden.json": "x.hidden.json",
+    " spaced.json": "x_spaced.json",
+    "e" * 125 + ".json": "e" * 125 + ".json",
+    "e" * 126 + ".json": "e" * 125 + ".json",
+    "e" * 140 + ".json.gz": "e" * 122 + ".json.gz",
+    "é" * 140 + ".json": "é" * 125 + ".json",
+    "e" * 140 + ".": "e" * 130,
+    "e" * 140: "e" * 130,
+    "ab.x" + "y" * 140: "ab.x" + "y" * 128 + ".x" + "y" * 140,
+}
 
 
-PARTS = [".", ".json", ".gz", "é", " ", "a", "b" * 40, "c" * 70, "d" * 128]
+def test_landing_name(spark):
+    df = spark.createDataFrame([(n,) for n in LANDED_NAMES], "name string")
+    assert {r["name"]: r["out"] for r in df.select("name", landing_name("name").alias("out")).collect()} == LANDED_NAMES
 
 
-def test_landing_name_follows_the_rule(spark):
-    items = ["".join(parts) for n in (1, 2, 3, 4) for parts in itertools.product(PARTS, repeat=n)]
-    df = spark.createDataFrame([(n,) for n in items], "name string")
-    rows = df.select("name", landing_name("name").alias("out")).collect()
-    assert len(rows) == len(items)
-    wrong = [r["name"] for r in rows if r["out"] != shortened(r["name"])]
-    assert not wrong
+PARTS = [".", "_", ".json", ".gz", "é", " ", "a", "b" * 40, "c" * 70]
 
 
-def test_landing_name_when_suffixes_exceed_the_bound(spark):
-    name = "ab.x" + "y" * 140
-    out = spark.createDataFrame([(name,)], "name string").select(landing_name("name")).first()[0]
-    assert out == shortened(name)
+def test_landing_names_are_visible(spark):
+    items = ["".join(parts) for n in (1, 2, 3, 4) for parts in itertools.product(PARTS, repeat=n)]
+    df = spark.createDataFrame([(n,) for n in items], "name string")
+    for row in df.select("name", landing_name("name").alias("out")).collect():
+        assert " " not in row["out"] and row["out"][0] not in "._", row
+
+
+def test_blobs_that_meet_on_one_path(spark, listing):
+    """Each different blob is fetched, at a path of its own; a repeat is not."""
+    long = "2026-06-01_" + "x" * 130
+    df = listing(blob(f"{long}A_index.json"), blob(f"{long}B_index.json"), blob(f"{long}B_index.json"), blob(f"{long}A_index.json"))
+    planned = make_plan(df, max_files=None)
+    nothing = spark.createDataFrame([], "path string, size bigint")
+    marked = blobs.mark_landed(planned, nothing)
+    rows = {r["pos"]: r for r in marked.collect()}
+    assert [rows[i]["status"] for i in range(4)] == ["pending", "pending", "skipped", "skipped"]
+    assert [rows[i]["collision"] for i in range(4)] == [False, True, True, False]
+    assert rows[0]["path"] != rows[1]["path"] == rows[2]["path"] and rows[1]["path"].endswith("_index.json"[6:])
+    assert len(rows[1]["path"].rpartition("/")[2]) == 130
+    again = blobs.mark_landed(planned, marked.select("path", "size"))
+    assert {r["status"] for r in again.collect()} == {"skipped"}
+    assert "Window" not in marked._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_path_has_no_hidden_part(listing):
+    df = listing(blob("_06-01_a_index.json"), blob("../b_index.json"))
+    paths = [r["path"] for r in make_plan(df).orderBy("pos").collect()]
+    assert paths[0] == "src/index/x_06-01_a_i/x_06-01_a_index.json"
+    assert not any(part.startswith(("_", ".")) for path in paths for part in path.split("/"))
 
 
 def test_base_name(spark):
@@ -156,7 +184,7 @@ def test_extract_end_to_end(spark, tmp_path):
     options = {"source": "src", "file_type": "index", "max_files": 10}
 
     first = jobs.extract(spark, listing.as_uri(), str(root), **options)
-    assert first == {"downloaded": 3, "skipped": 0, "failed": 1}
+    assert first == {"downloaded": 3, "skipped": 0, "failed": 1, "collision": 0}
     landed = root / "src" / "index" / "2026-06-01"
     assert sorted(p.name for p in landed.iterdir()) == [
         "2026-06-01_a_index.json", "2026-06-01_b_c_index.json", "2026-06-01_d_index.json",
@@ -166,7 +194,7 @@ def test_extract_end_to_end(spark, tmp_path):
 
     write_document(remote, missing.name, document({"reporting_plans": [plan()]}))
     second = jobs.extract(spark, listing.as_uri(), str(root), **options)
-    assert second == {"downloaded": 1, "skipped": 3, "failed": 0}
+    assert second == {"downloaded": 1, "skipped": 3, "failed": 0, "collision": 0}
     assert read_index_documents(spark, str(root)).count() == 4
 
     with pytest.raises(OSError):

@@ -176,6 +176,25 @@ def test_load_into_catalog_table(spark, zone, tmp_path):
         store.quoted("t; DROP TABLE x")
 
 
+def test_a_date_that_gives_no_rows_any_more_is_emptied(spark, zone, tmp_path):
+    """June's document loses its plans: its rows go from the processed zone, the table and the catalog table."""
+    name = "emptied_dates"
+    store.create_table(spark, name, str(tmp_path / "catalog"))
+    land(zone, tmp_path, JUNE, "a")
+    land(zone, tmp_path, JULY, "b")
+    done = jobs.transform(spark, zone["raw"], zone["processed"])
+    assert done.dates == [JUNE, JULY] and done.stage is None
+    jobs.load(spark, zone["processed"], zone["table"], dates=done.dates)
+    jobs.load(spark, zone["processed"], table=name, dates=done.dates)
+    land(zone, tmp_path, JUNE, "a", {"reporting_plans": []})
+    done = jobs.transform(spark, zone["raw"], zone["processed"])
+    assert done.dates == [JUNE, JULY] and by_date(spark, zone["processed"]) == {JULY: 2}
+    assert jobs.load(spark, zone["processed"], zone["table"], dates=done.dates) == 2
+    assert by_date(spark, zone["table"]) == {JULY: 2}
+    assert jobs.load(spark, zone["processed"], table=name, dates=done.dates) == 2
+    assert [str(r[0]) for r in spark.table(name).select("partition_date").distinct().collect()] == [JULY]
+
+
 def test_load_without_rows(spark, zone, tmp_path):
     land(zone, tmp_path, JUNE, "a")
     jobs.transform(spark, zone["raw"], zone["processed"])
