@@ -3,6 +3,7 @@
 What is found gets a replacement of the same kind and format, derived from a key, the
 kind and the value: a value has one surrogate in the whole corpus (coreference), and
 rounds of collision checks see that no two values share one and that none is a real value.
+A name found with a form of address is replaced wherever it recurs in the same text.
 """
 
 from __future__ import annotations
@@ -17,13 +18,17 @@ ROUNDS = 16  # of collision checks before giving up
 
 # Forms of address with the gender they tell, and given names.
 _MALE = ["Mr", "Herr", "Monsieur", "Señor", "Sr", "г-н", "κ"]
-_FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "г-жа", "κα"]
+_FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "г-жа", "κα", "Mlle", "Mademoiselle", "Señorita", "Srta", "Fräulein"]
+_NEUTRAL = ["Dr", "Prof", "Doctor", "Professor", "Doktor", "Docteur", "Mx", "д-р", "проф", "δρ"]
 _GIVEN = {
     ("m", "Latin"): ["Adam", "Bruno", "Carl", "David", "Emil", "Felix", "Hugo", "Jonas", "Leon", "Martin", "Oscar", "Paul"],
     ("f", "Latin"): ["Alma", "Bianca", "Clara", "Diana", "Emma", "Flora", "Helena", "Iris", "Julia", "Laura", "Maria", "Nora"],
     ("m", "Cyrillic"): ["Антон", "Борис", "Виктор", "Егор", "Иван", "Максим", "Олег", "Павел"],
     ("f", "Cyrillic"): ["Анна", "Вера", "Дарья", "Елена", "Ирина", "Мария", "Ольга", "Софья"],
     ("m", "Greek"): ["Αλέξης", "Γιώργος", "Κώστας", "Νίκος", "Πέτρος", "Σπύρος"],
+    ("n", "Latin"): ["Alex", "Charlie", "Eden", "Jamie", "Kim", "Quinn", "Robin", "Sascha"],
+    ("n", "Cyrillic"): ["Валя", "Женя", "Саша", "Слава", "Шура"],
+    ("n", "Greek"): ["Άρη", "Ντένη", "Φώτη", "Χάρη"],
     ("f", "Greek"): ["Άννα", "Ελένη", "Ιωάννα", "Κατερίνα", "Μαρία", "Σοφία"],
 }
 _SYLLABLES = {
@@ -33,24 +38,44 @@ _SYLLABLES = {
 }
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_TITLE = "|".join(sorted(_MALE + _FEMALE, key=len, reverse=True))
+_TITLE = "|".join(sorted(_MALE + _FEMALE + _NEUTRAL, key=len, reverse=True))
+_TITLES = rf"(?:(?:{_TITLE})\.? ){{1,4}}"
 _NAME = r"\p{Lu}\p{L}+"
+_SIGN = r"[\p{L}\p{M}\p{N}_.%+-]"  # of a mailbox
+_TOP = r"\.(?:xn--[A-Za-z0-9-]+|\p{L}[\p{L}\p{M}]+)"
+_HEX = r"[0-9A-Fa-f]{1,4}"
+_BEGIN = r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY(?: BLOCK)?-----"
+_END = r"-----END [A-Z ]{0,30}PRIVATE KEY(?: BLOCK)?-----"
+_TOKEN = r"gh[opsru]_|github_pat_|glpat-|sk-|[rs]k_(?:live|test)_|xox[a-z]-|AIza|npm_|hf_|SG\."  # how access tokens begin
+_PHONES = [
+    # With the country; in groups of two to five digits from the trunk zero; in the North American form.
+    r"(?<![\w+])(?:\+\d{1,3}|00[1-9]\d{0,2}[ .-])(?=(?:[ ./()-]{0,2}\d){6})[ ./-]?(?:\(\d{1,4}\) ?)?\d{1,4}(?:[ ./-]?\d{2,4}){1,5}(?!\d)",
+    r"(?<![\w+.,(-])0\d(?:(?: \d{2}){4}|(?:\.\d{2}){4}|(?:-\d{2}){4})(?!\d)",
+    r"(?<![\w+.,-])(?=(?:[ /()-]{0,2}\d){9})(?:\(0\d{1,4}\)[ /-]?|0\d{1,4}[ /-])\d{3,8}(?:[ -]\d{2,4}){0,3}(?!\d)",
+    r"(?<![\w(])(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)",
+]
 # By kind, in the order in which they are tried.
 PATTERNS = {
-    "email": r"(?<![\w.%+-])[\w.%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}",
-    "secret": r"(?<![A-Za-z])(?i:password|passwd|pwd|token|api[_-]?key|secret)[\"']?\s{0,3}[=:]\s{0,3}[\"']?[\w/+.~-]{8,}",
+    "email": rf"(?<!{_SIGN}){_SIGN}++@(?:[\p{{L}}\p{{M}}\p{{N}}-]++\.)*[\p{{L}}\p{{M}}\p{{N}}-]++{_TOP}",
+    "key": rf"{_BEGIN}(?:(?s:.{{0,30000}}?){_END}|(?:\s{{1,4}}[A-Za-z0-9+/=]{{16,}}){{1,500}}+)",
+    "jwt": r"(?<![\w-])eyJ[\w-]{5,}\.[\w-]{5,}\.[\w-]*",
+    "token": rf"(?<![\w-])(?:{_TOKEN})[\w.-]*\w{{12,}}",
+    "secret": r"(?<![A-Za-z])(?i:password|passwd|pwd|token|api[_-]?key|secret)[\"']?\s{0,3}[=:]\s{0,3}[\"']?[\w/+.~-]{8,}"
+    r"|(?<![A-Za-z])(?i:bearer) {1,3}(?!eyJ)(?=[\w/+.~-]{0,200}\d)[\w/+.~-]{16,}",
     "access": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
-    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\w(])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?!\d)",
+    "phone": "|".join(_PHONES),
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
+    "ipv6": rf"(?<![\w:.])(?=[A-Fa-f:]{{0,40}}\d)(?=(?:{_HEX}:){{0,6}}:|(?:{_HEX}:){{6}})(?:(?:{_HEX})?:){{2,7}}(?:(?:{_OCTET}\.){{3}}{_OCTET}|{_HEX})?(?![\w:])",
     "ipv4": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
     "card": r"(?<![\w.-])(?:\d{13,19}|\d{4}(?: \d{4}){3}|\d{4}(?:-\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?!\w)",
-    "person": rf"(?<!\p{{L}})(?:{_TITLE})\.? {_NAME}(?:[ -]{_NAME})?",
+    "person": rf"(?<!\p{{L}}){_TITLES}{_NAME}(?:[ -]{_NAME})?",
 }
-PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
-# Without a digit or one of these signs, the start of an access key or a form of address, a text has none of the above.
-_FIRSTS = "".join(sorted({t[0] for t in _MALE + _FEMALE}))
-_MAY = rf"[0-9@=:]|A(?:KI|SI)A[A-Z]|(?=[{_FIRSTS}])(?:{_TITLE})\.? \p{{Lu}}"
+# None of them starts behind a letter of a to z but with a digit or hyphen: most places are passed over at once.
+PATTERN = r"(?:(?<![A-Za-z])|(?=[\d-]))(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ")"
+# Without a digit or one of these signs, the start of a key or token or a form of address, a text has none of the above.
+_FIRSTS = "".join(sorted({t[0] for t in _MALE + _FEMALE + _NEUTRAL}))
+_MAY = rf"[0-9@=:]|A(?:KI|SI)A[A-Z]|-----BEGIN |eyJ|{_TOKEN}|(?=[{_FIRSTS}])(?:{_TITLE})\.? \p{{Lu}}"
 
 
 def _pick(options: list[str], n: Column) -> Column:
@@ -133,14 +158,23 @@ def _named(kind: Column, attempt: int) -> Column:
 def _surrogate(kind: Column, core: Column, attempt: int) -> Column:
     """Reads the column ``digest``."""
     octets = F.concat_ws(".", *[(F.pmod(_byte(F.lit(i)), F.lit(254)) + 1).cast("string") for i in range(4)])
-    tail = F.regexp_extract(core, r"\.[A-Za-z]+$", 0)
+    tail = F.regexp_extract(core, rf"{_TOP}$", 0)
     mailbox = F.substring(core, F.lit(1), F.length(core) - F.length(tail))
     more = F.substring("digest", 1, 6) if attempt >= ROUNDS // 2 else F.lit("")
     email = F.concat(more, _shaped(mailbox, F.lit(False), F.lit(0)), tail)
-    phone = _shaped(core, F.lit(False), F.length(F.regexp_extract(core, r"^(\+\d{1,3}[ .-]?)?", 0)))
+    phone = _shaped(core, F.lit(False), F.length(F.regexp_extract(core, r"^(\+\d{1,3}[ .-]?|00\d{1,3}[ .-]|\(?0)?", 0)))
+    # A short form has few others: from the fifth round on, an address in full.
+    groups = F.concat_ws(":", F.concat(F.lit("fd"), F.substring("digest", 1, 2)), *[F.substring("digest", 4 * i, 4) for i in range(1, 8)])
+    ipv6 = groups if attempt >= 4 else _shaped(core, F.lit(True), F.lit(0))
+    end = F.regexp_extract(core, rf"\s*{_END}$", 0)
+    inner = F.substring(core, F.lit(1), F.length(core) - F.length(end))
     return (
         F.when(kind == "email", email)
         .when(kind == "ipv4", octets)
+        .when(kind == "ipv6", ipv6)
+        .when(kind == "key", F.concat(_shaped(inner, F.lit(False), F.lit(0)), end))
+        .when(kind == "jwt", _shaped(core, F.lit(False), F.lit(3)))
+        .when(kind == "token", _shaped(core, F.lit(False), F.length(F.regexp_extract(core, rf"^(?:{_TOKEN})", 0))))
         .when(kind == "card", _card(core))
         .when(kind == "iban", _iban(core))
         .when(kind == "phone", phone)
@@ -163,13 +197,21 @@ def entity_parts(values: DataFrame) -> DataFrame:
     """
     kind = F.coalesce(*[F.when(F.col("value").rlike(f"^(?:{p})$"), k) for k, p in PATTERNS.items()])
     kinds = values.withColumn("kind", kind)
-    lead = F.regexp_extract("value", r"^\p{L}[\p{L}_-]*[\"']?\s*[=:]\s*[\"']?", 0)
-    whole = kinds.filter(F.col("kind") != "person").withColumn("before", F.when(F.col("kind") == "secret", lead).otherwise(""))
+    lead = F.regexp_extract("value", r"^(?:\p{L}[\p{L}_-]*[\"']?\s*[=:]\s*[\"']?|(?i:bearer) +)", 0)
+    begin = F.regexp_extract("value", rf"^{_BEGIN}\s*", 0)
+    before = F.when(F.col("kind") == "secret", lead).when(F.col("kind") == "key", begin).otherwise("")
+    whole = kinds.filter(F.col("kind") != "person").withColumn("before", before)
     whole = whole.withColumn("core", F.substring("value", F.length("before") + 1, F.length("value")))
+    # A token is the same value with and without a name in front.
+    for name in ("jwt", "token"):
+        named = (F.col("kind") == "secret") & F.col("core").rlike(f"^(?:{PATTERNS[name]})$")
+        whole = whole.withColumn("kind", F.when(named, name).otherwise(F.col("kind")))
     whole = whole.filter((F.col("kind") != "card") | (F.pmod(_luhn(F.regexp_replace("core", "[^0-9]", "")), F.lit(10)) == 0))
     whole = whole.select("value", F.lit(0).alias("place"), "before", "kind", "core")
-    title = F.regexp_extract("value", rf"^(?:{_TITLE})\.? ", 0)
-    gender = F.when(F.regexp_replace("before", r"\.? $", "").isin(_FEMALE), "f").otherwise("m")
+    title = F.regexp_extract("value", rf"^{_TITLES}", 0)
+    told = F.split(F.regexp_replace("before", r"\.? $", ""), r"\.? ")
+    has = lambda titles: F.arrays_overlap(told, F.array(*map(F.lit, titles)))
+    gender = F.when(has(_FEMALE), "f").when(has(_MALE), "m").otherwise("n")
     first, second = F.get("names", F.lit(0)), F.get("names", F.lit(1))
     sep = F.regexp_extract("rest", r"[ -]", 0)
     family = lambda n: F.concat(F.lit("family-"), _script(n))
@@ -226,7 +268,7 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
     an empty one empty, equal rows stay equal. An empty table gives an empty result.
     """
     may = F.coalesce(F.col("text").rlike(_MAY), F.lit(False))
-    print_, puts, many = (fresh(docs, c) for c in ("_print", "_puts", "_many"))
+    print_, puts, many, again, gaps = (fresh(docs, c) for c in ("_print", "_puts", "_many", "_again", "_gaps"))
     # Of equal texts one is searched: results depend on the text alone.
     same = F.struct(F.xxhash64("text").alias("a"), F.hash("text").alias("b"), F.length("text").alias("c"))
     hits = docs.filter(may)
@@ -236,26 +278,38 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
     parts = saved(entity_parts(spots.select("value").distinct()), "entity_parts")
     names = dictionary(parts, key)
     piece = F.struct("place", F.concat("before", "surrogate").alias("piece"))
-    values = parts.join(names, ["kind", "core"]).groupBy("value").agg(F.sort_array(F.collect_list(piece)).alias("pieces"))
-    values = saved(values.select("value", F.array_join("pieces.piece", "").alias("surrogate")), "entity_surrogates")
+    person = F.when(F.col("kind").rlike("^(given|family)-"), F.struct("core", "surrogate"))
+    values = parts.join(names, ["kind", "core"]).groupBy("value").agg(
+        F.sort_array(F.collect_list(piece)).alias("pieces"), F.sort_array(F.collect_list(person)).alias("people")
+    )
+    values = saved(values.select("value", F.array_join("pieces.piece", "").alias("surrogate"), "people"), "entity_surrogates")
     placed = (
         spots.join(values, "value", "left")
         .groupBy(print_)
         .agg(
             F.sort_array(F.collect_list(F.struct("spot", F.coalesce("surrogate", "value").alias("put")))).alias(puts),
             F.count("surrogate").alias(many),
+            F.sort_array(F.array_distinct(F.flatten(F.collect_list("people")))).alias("people"),
         )
-        .select(print_, F.col(f"{puts}.put").alias(puts), many)
+        .withColumn("cores", F.array_distinct("people.core"))
+        .withColumn("others", F.transform("cores", lambda c: F.get(F.filter("people", lambda p: p["core"] == c), F.lit(0))["surrogate"]))
+        .select(print_, F.col(f"{puts}.put").alias(puts), many, F.map_from_arrays("cores", "others").alias(again))
     )
     placed = saved(placed, "entity_places")
-    between = F.split("text", PATTERN, -1)
-    merged = F.array_join(F.flatten(F.zip_with(between, puts, lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
+    # What stands between the entities, cut into words where names may recur in it.
+    cut = lambda t: F.split(t, r"(?<=\p{L})(?!\p{L})|(?<!\p{L})(?=\p{L})", -1)
+    between = F.transform(F.split("text", PATTERN, -1), lambda t: F.when(F.size(again) > 0, cut(t)).otherwise(F.array(t)))
+    recurs = F.aggregate(F.flatten(gaps), F.lit(0), lambda n, w: n + F.when(F.map_contains_key(again, w), 1).otherwise(0))
+    named = lambda words: F.array_join(F.transform(words, lambda w: F.coalesce(F.try_element_at(again, w), w)), "")
+    renamed = F.transform(gaps, lambda words: F.when(F.size(again) > 0, named(words)).otherwise(F.get(words, F.lit(0))))
+    merged = F.array_join(F.flatten(F.zip_with(renamed, puts, lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
     changed = (
         hits.withColumn(print_, same)
         .join(placed, print_, "left")
+        .withColumn(gaps, F.when(F.col(many) > 0, between))
         .withColumn("text", F.when(F.col(many) > 0, merged).otherwise(F.col("text")))
-        .withColumn("n_entities", F.coalesce(many, F.lit(0)).cast("long"))
-        .drop(print_, puts, many)
+        .withColumn("n_entities", F.coalesce(F.col(many) + F.when(F.size(again) > 0, recurs).otherwise(0), F.lit(0)).cast("long"))
+        .drop(print_, puts, many, again, gaps)
     )
     out = changed.unionByName(docs.filter(~may).withColumn("n_entities", F.lit(0).cast("long")))
     if "n_chars" in docs.columns:
