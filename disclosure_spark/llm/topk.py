@@ -23,7 +23,7 @@ QUERIES = 1024  # queries of a task
 DEPTHS = (0.05, 0.15, 0.4, 0.75)  # of the lists, where bounds are compared
 
 PACKED = "block long, ids array<long>, dims int, data binary"
-FOUND = "query_id long, vec_id long, score long"
+FOUND = "query_id long, query_key string, copies long, vec_id long, score long"
 
 
 def vectors(table: DataFrame, id_column: str, vector_column: str) -> DataFrame:
@@ -81,19 +81,20 @@ def nra(query: np.ndarray, block: np.ndarray, own: np.ndarray, orders: tuple[np.
 def top_k(table: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", k: int = K, every: int = EVERY, block: int = BLOCK, queries: int = QUERIES) -> DataFrame:
     """The ``k`` best candidates of each query: query_id, rank, vec_id, score.
 
-    Candidates are all rows but the query's own; ties go to the smaller id. Vectors that
+    Candidates are all rows but the query row itself; ties go to the smaller id. Vectors that
     are null or hold null or non-finite components take no part, shorter ones count as
-    filled up with zeros. Rows that repeat an id are candidates each, a query per row, and no
-    candidates of their own id. An empty table gives an empty result. Scores are exact in
+    filled up with zeros. Rows that repeat an id are candidates each, also of one another, and a query
+    per row, each with ranks of its own: query rows that are equal are searched once and their result repeated. An empty table gives an empty result. Scores are exact in
     64-bit integers.
     """
     rows = vectors(table, id_column, vector_column)
-    asked = _blocks(rows.filter(F.pmod("id", F.lit(every)) == 0), queries, "q")
+    asked = rows.filter(F.pmod("id", F.lit(every)) == 0).groupBy("id", "x").agg(F.count("*").alias("copies"))
+    asked = _blocks(asked.withColumn("key", F.sha2(F.array_join("x", ","), 256)), queries, "q")
     stored = _blocks(rows, block, "b")
     q_many, b_many = (df.agg(F.max(c)).first()[0] or 0 for df, c in ((asked, "q"), (stored, "b")))
     cell = F.struct("q", "b").alias("cell")
-    left = asked.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(b_many)))).select(cell, "id", "x", F.lit(True).alias("asks"))
-    right = stored.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(q_many)))).select(cell, "id", "x", F.lit(False).alias("asks"))
+    left = asked.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(b_many)))).select(cell, "id", "x", "key", "copies")
+    right = stored.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(q_many)))).select(cell, "id", "x", F.lit(None).cast("string").alias("key"), F.lit(None).cast("long").alias("copies"))
 
     def matrix(parts: list) -> np.ndarray:
         width = max((len(p) for p in parts), default=0)
@@ -102,35 +103,41 @@ def top_k(table: DataFrame, id_column: str = "vec_id", vector_column: str = "emb
             out[i, : len(p)] = p
         return out
 
-    def search(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray):
+    def search(ids: np.ndarray, sizes: np.ndarray, x: np.ndarray, asked: list, q_sizes: np.ndarray, q: np.ndarray):
         width = max(x.shape[1], q.shape[1])
         x, q = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (x, q))
         small = width == 0 or int(np.abs(x).max()) * int(np.abs(q).max() or 1) * width < 2**53
         orders = (np.argsort(-x, 0, kind="stable"), np.argsort(x, 0, kind="stable"))
         real = x.astype(np.float64)
-        for query_id, one in zip(query_ids, q, strict=True):
-            own = ids == query_id
+        for (query_id, key, copies), size, one in zip(asked, q_sizes, q, strict=True):
+            # The row itself: one of those equal to it, which are all in this block or all in another.
+            same = np.flatnonzero((ids == query_id) & (sizes == size))
+            own = np.zeros(len(ids), bool)
+            own[same[(x[same] == one).all(1)][:1]] = True
             # Doubles hold small scores exactly; else bounds would be rounded, and all rows are resolved.
             some = nra(one.astype(np.float64), real, own, orders, k, -np.inf) if small else np.flatnonzero(~own)
             scores = x[some] @ one
             best = np.lexsort((ids[some], -scores))[:k]
-            yield np.full(len(best), query_id), ids[some][best], scores[best]
+            n = len(best)
+            yield np.full(n, query_id), np.full(n, key), np.full(n, copies), ids[some][best], scores[best]
 
     def task(batches):
         cells: dict = {}
         for batch in batches:
-            for c, i, v, asks in zip(*(col.to_pylist() for col in batch.columns), strict=True):
+            for c, i, v, key, copies in zip(*(col.to_pylist() for col in batch.columns), strict=True):
                 cells.setdefault((c["q"], c["b"]), ([], [], [], []))
                 own = cells[c["q"], c["b"]]
-                own[2 * asks].append(i)
-                own[2 * asks + 1].append(v)
-        for ids, parts, query_ids, asked_parts in cells.values():
-            if ids and query_ids:
-                found = list(search(np.array(ids), matrix(parts), np.array(query_ids), matrix(asked_parts)))
+                own[0 if key is None else 2].append(i if key is None else (i, key, copies))
+                own[1 if key is None else 3].append(v)
+        for ids, parts, asked, asked_parts in cells.values():
+            if ids and asked:
+                sizes, q_sizes = (np.array([len(p) for p in x]) for x in (parts, asked_parts))
+                found = list(search(np.array(ids), sizes, matrix(parts), asked, q_sizes, matrix(asked_parts)))
                 yield arrow_batch(FOUND, [np.concatenate(c) for c in zip(*found, strict=True)])
 
     cells = (q_many + 1) * (b_many + 1)
     found = left.unionByName(right).repartition(cells, "cell").mapInArrow(task, FOUND)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    repeated = ranked.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
+    return repeated.select("query_id", "rank", "vec_id", "score")

@@ -328,6 +328,21 @@ def test_top_k(spark):
     assert topk.top_k(df.limit(0)).count() == 0
 
 
+def test_top_k_of_repeated_ids(spark):
+    vectors = [(i, [RANDOM.uniform(-1, 1) for _ in range(5)]) for i in range(120)]
+    vectors += [(100, vectors[9][1])] * 2 + [(0, vectors[7][1])] * 12 + [(200, [0.5, 0.25]), (200, [0.5, 0.25, 0.0]), (7, vectors[7][1])]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
+    whole = [(i, np.floor(1024 * np.pad(np.array(v, np.float32).astype(float), (0, 5 - len(v)))).astype(int)) for i, v in vectors]
+    expected = Counter()
+    for at, (i, q) in enumerate(whole):
+        if i % 100 == 0:
+            found = sorted((-int(q @ x), j) for place, (j, x) in enumerate(whole) if place != at)[:10]
+            expected.update((i, r + 1, j, -s) for r, (s, j) in enumerate(found))
+    assert sum(expected.values()) == 10 * 18
+    for block in (4096, 10):
+        assert bag(topk.top_k(df, block=block, queries=2)) == expected
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_equals_sql(spark, sf_dir, name):
     con = connect(sf_dir)
