@@ -27,54 +27,87 @@ _CLOSED_BY_BLOCK = set("p".split())
 _SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _PLACES = {"ul", "ol", "dl", "table", "div", "section", "article", "body", "main", "td"}
 _BOILER_TAGS = set("nav footer aside form menu dialog fieldset".split())
+_FIELD_TAGS = set("form fieldset".split())  # labels of fields, but a form may hold a whole page
 _CONTENT_TAGS = set("article main".split())
 _HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|style|aria-hidden|itemprop|aria-label)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
-# Whole words of class, id and role, after splitting at case changes, hyphens and underscores.
+# Words of class, id and role, after splitting at case changes, hyphens and underscores: those that tell in any name, ...
 _BOILER_WORDS = set(
-    "nav navbar navigation navi menu menubar breadcrumb breadcrumbs header masthead banner topbar toolbar footer foot bottombar colophon "
-    "sidebar side aside rail complementary ad ads adv advert adverts advertisement advertising advertorial sponsor sponsored promo "
-    "promotion promoted cookie cookies consent gdpr notice notices alert popup modal overlay dialog share sharing social follow comment "
-    "comments commentlist reply replies respond disqus discussion related recommended recommendations trending popular more widget "
-    "newsletter subscribe subscription signup login register search form contact contentinfo copyright legal disclaimer pagination pager "
-    "tags tagcloud byline skip hidden contactform paywall feedback rating ratings reviews".split()
+    "nav navbar navigation navi menu menubar breadcrumb breadcrumbs header masthead banner topbar toolbar footer bottombar colophon "
+    "sidebar aside complementary ad ads adv advert adverts advertisement advertising advertorial sponsored promo "
+    "promotion promoted cookie cookies consent gdpr popup modal overlay sharing comment "
+    "comments commentlist reply replies respond disqus related recommended recommendations trending "
+    "newsletter subscribe subscription signup login contentinfo copyright disclaimer pagination pager "
+    "tagcloud byline skip contactform paywall".split()
 )
+# ... those that tell only if the whole name is of such words, ...
+_WEAK_WORDS = set(
+    "foot side rail sponsor notice notices alert dialog share social follow discussion popular more widget register search form contact "
+    "legal tags hidden feedback rating ratings reviews".split()
+)
+# ... and those of lists whose items may be articles.
+_LIST_WORDS = set("comment comments commentlist reply replies respond disqus related recommended recommendations trending".split())
+_HEADER_WORDS = set("header masthead banner byline".split())
+_WITHOUT = set("has no not non with without".split())  # what follows in a name is of another element
 _CONTENT_WORDS = set("article content main post entry story body text articlebody maincontent postcontent entrycontent".split())
-_STRONG = 20.0  # capacity of what the page's structure says
+# Terms of the capacities, of the order of a block's edges, so that its length, links and neighbours can outvote them.
+_HIDDEN = 20.0  # not shown at all: the one thing that decides alone
+_PLACE = 4.0  # below nav, footer and the like
+_WORD = 4.0  # below a name with a boilerplate word, for a short block or one of links
+_WEAK = 1.5  # the same for a name of weak words
+_INSIDE = 2.0  # inside the main element, if all the page's text is there
+_OUTSIDE = 1.5  # outside of it, likewise
 _SMOOTH = 1.0  # of an edge between blocks of one parent
 
 
 def _words(value: str) -> list[str]:
-    return re.sub(r"([a-z])([A-Z])", r"\1 \2", value).replace("-", " ").replace("_", " ").lower().split()
+    """Of one name; without what follows has-, no- or with-."""
+    out = re.sub(r"([a-z])([A-Z])", r"\1 \2", value).replace("-", " ").replace("_", " ").lower().split()
+    return out[: next((i for i, w in enumerate(out) if w in _WITHOUT), len(out))]
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "depth", "bias", "dropped", "main")
+    """An element, with what tags and names from here up say of it."""
+
+    __slots__ = ("tag", "parent", "depth", "hidden", "main", "placed", "named", "listed", "weak", "fields")
 
     def __init__(self, tag: str, parent: _Node | None, attributes: str):
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
-        self.dropped = parent.dropped if parent else False
-        self.main = parent.main if parent else False
-        found: set[str] = set()
+        self.hidden, self.main, self.placed, self.named, self.listed, self.weak, self.fields = (
+            (parent.hidden, parent.main, parent.placed, parent.named, parent.listed, parent.weak, parent.fields) if parent else (False,) * 7
+        )
+        names: list[list[str]] = []
         if attributes:
             for m in _ATTR.finditer(attributes):
                 name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
                 if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-                    self.dropped = True
+                    self.hidden = True
                 elif name == "style":
-                    self.dropped |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
+                    self.hidden |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
                 else:
-                    found.update(_words(value))
-        if tag in _BOILER_TAGS or (tag == "header" and not self.main):
-            self.dropped = True
-        elif found & _BOILER_WORDS and tag not in ("body", "html") and not (tag in _CONTENT_TAGS or tag in _HEADINGS):
-            self.dropped = True
+                    names += map(_words, [value] if name == "aria-label" else value.split())
+        found = {w for name in names for w in name}
+        if tag in _CONTENT_TAGS:
+            # Names above or of the main element say nothing of it, but for lists of other articles.
+            self.named, self.weak, self.fields = self.listed, False, False
+        elif tag not in ("body", "html") and tag not in _HEADINGS:
+            self.placed |= tag in _BOILER_TAGS - _FIELD_TAGS or (tag == "header" and not self.main)
+            words = found & (_BOILER_WORDS - _HEADER_WORDS if self.main else _BOILER_WORDS)
+            self.named |= bool(words)
+            self.listed |= bool(words & _LIST_WORDS)
+            both = _WEAK_WORDS | _BOILER_WORDS
+            self.weak |= not self.main and any(name and both.issuperset(name) for name in names)
+            self.fields |= tag in _FIELD_TAGS
         if tag in _CONTENT_TAGS or (not self.main and found & _CONTENT_WORDS and tag in ("div", "section", "td")):
             self.main = True
 
+    @property
+    def suspect(self) -> bool:
+        return self.hidden or self.placed or self.named or self.weak
+
 
 class _Block:
     __slots__ = ("node", "text", "linked")
@@ -160,25 +193,47 @@ def blocks(page: str) -> list[_Block]:
     return out
 
 
-def costs(block: _Block, has_main: bool) -> tuple[float, float]:
+def main_share(found: list[_Block]) -> float:
+    """How much of the page's text is inside article, main and the like; links and suspect blocks do not count."""
+    inside = everything = 0
+    for b in found:
+        if not b.node.suspect:
+            plain = max(len(b.text) - b.linked, 0)
+            everything += plain
+            inside += plain if b.node.main else 0
+    return inside / everything if everything else 0.0
+
+
+def costs(block: _Block, share: float) -> tuple[float, float]:
     """Capacities to the terminals content and boilerplate: what the other label would cost."""
     node, n = block.node, len(block.text)
-    if node.dropped:
-        return 0.0, _STRONG
+    if node.hidden:
+        return 0.0, _HIDDEN
+    words = block.text.count(" ") + 1
+    links = min(1.0, block.linked / n)
+    score = -0.5 + min(words, 60) / 20 + min(2, len(re.findall(r"[.!?](?:\s|$)", block.text))) * 0.5
+    score -= 4.0 * links
+    told = node.tag in _HEADINGS or re.search(r"[.!?](?:\s|$)", block.text)
+    score += 2.0 if node.tag in _HEADINGS else 0.5 if node.tag in ("p", "blockquote", "pre") else 0.0
+    score -= 3.0 if re.match(r"(?:©|\(c\)|copyright\b)", block.text, re.I) else 0.0
     up: _Node | None = node
     in_header = False
     while up is not None:
         in_header |= up.tag == "header"
         up = up.parent
-    if has_main:
-        if not node.main:
-            return 0.0, _STRONG / 4
-        return (0.0, _STRONG) if in_header and node.tag not in _HEADINGS else (_STRONG / 2, 0.0)
-    words = block.text.count(" ") + 1
-    score = -0.5 + min(words, 60) / 20 + min(2, len(re.findall(r"[.!?](?:\s|$)", block.text))) * 0.5
-    score -= 4.0 * min(1.0, block.linked / n)
-    score += 2.0 if node.tag in _HEADINGS else 0.5 if node.tag in ("p", "blockquote", "pre") else 0.0
-    score -= 3.0 if re.match(r"(?:©|\(c\)|copyright\b)", block.text, re.I) else 0.0
+    score += _INSIDE * share if node.main else -_OUTSIDE * share
+    # A long text without links is little suspect by a name above it.
+    short = 1.0 - 0.75 * min(words, 60) / 60 * (1.0 - links)
+    if node.placed:
+        score -= _PLACE
+    elif node.named:
+        score -= _WORD * short
+    elif node.weak:
+        score -= _WEAK * short
+    elif node.fields and not told:
+        score -= _WORD * short
+    elif in_header and node.tag not in _HEADINGS:
+        score -= _WORD * short
     return max(score, 0.0), max(-score, 0.0)
 
 
@@ -268,8 +323,8 @@ def main_text(page: str) -> str:
     found = blocks(page)
     if not found:
         return ""
-    has_main = any(b.node.main and not b.node.dropped for b in found)
-    both = [costs(b, has_main) for b in found]
+    share = main_share(found)
+    both = [costs(b, share) for b in found]
     chosen = minimum_cut([c for c, _ in both], [b for _, b in both], edges(found))
     return "\n\n".join(b.text for b, keep in zip(found, chosen, strict=True) if keep)
 

@@ -234,6 +234,21 @@ def test_main_text(spark):
     assert got[1, "u", text, len(text)] == 2 and got[2, None, "", 0] == 1 and got[None, "u", "", 0] == 1
 
 
+SENTENCES = ["The river rose for nine days before the bridge gave way.", "Nobody in the village had seen it so high.", "Then the rain stopped at last."]
+
+
+@pytest.mark.parametrize("around", [
+    '<div class="layout has-sidebar"><article>{}</article></div>', '<div class="no-sidebar"><article>{}</article></div>',
+    '<div class="sidebar-layout"><article>{}</article></div>', '<div class="read-more-content">{}</div>', '<section id="legal-analysis">{}</section>',
+    '<article><div class="elementor-widget elementor-widget-text-editor">{}</div></article>', '<form id="form1"><div>{}</div></form>',
+    '<article><div class="search">{}</div></article>', '<div class="popular-science">{}</div>',
+])
+def test_main_text_in_wrappers(around):
+    body = around.format("".join(f"<p>{t}</p>" for t in SENTENCES))
+    nav = '<nav><a href="/">Home</a> <a href="/b">News</a></nav><div class="widget"><a href="/c">More</a></div><div class="ad">Buy now!</div>'
+    assert mincut.main_text(f"<body>{nav}{body}<footer>Imprint</footer></body>") == "\n\n".join(SENTENCES)
+
+
 def test_minimum_cut():
     for _ in range(150):
         n = RANDOM.randrange(1, 8)
