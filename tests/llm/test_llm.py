@@ -262,6 +262,18 @@ def test_minimum_cut():
         assert cost(mincut.minimum_cut(source, sink, joined)) == pytest.approx(best)
 
 
+@pytest.mark.parametrize("teaser", ['<div class="text">Read on</div>', '<article class="card"><a href="/x">Another story</a></article>'])
+def test_main_text_beside_a_teaser(teaser, monkeypatch):
+    body = "".join(f"<div>{t}</div>" for t in SENTENCES * 4)
+    text = mincut.main_text(f'<body><nav><a href="/">Home</a></nav>{teaser}<div>{body}</div></body>')
+    assert text.endswith("\n\n".join(SENTENCES * 4)) and "Home" not in text
+    # On a page with an article, the edges change labels.
+    page = f"<body><article>{''.join(f'<p>{t}</p>' for t in SENTENCES)}<p>in <a href='/y'>rain</a></p><p>{SENTENCES[0]}</p></article></body>"
+    with_edges = mincut.main_text(page)
+    monkeypatch.setattr(mincut, "_SMOOTH", 0.0)
+    assert "in rain" in with_edges and mincut.main_text(page) != with_edges
+
+
 @pytest.mark.parametrize("block", [256, 4])
 def test_forest(spark, docs, rows, nothing, block):
     base = [f"w{i}" for i in range(150)]
