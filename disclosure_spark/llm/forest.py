@@ -1,9 +1,10 @@
 """Similarity join of texts by the Jaccard similarity of their runs of five words.
 
-A MinHash LSH forest: every tree sorts documents by a signature of its own, and
-documents that share a prefix of it are candidates. The prefix is shortened from the whole
-signature until a pair at the threshold is met in some tree with the target recall. All
-candidates are verified on their whole shingle sets.
+MinHash banding: each of 16 bands (called trees here) hashes so many minima into one key, and documents
+that share a key are candidates. How many is computed once from threshold, bands and recall (4 for 0.8, 16 and
+0.9995), not from the data: it is not an LSH forest, which would sort signatures and shorten prefixes by what it
+meets. The threshold is fixed, so no shorter prefix is needed for the recall. All candidates are verified on
+their whole shingle sets.
 
 Documents with the same shingles are one class, which is joined once for all its copies. A pair is
 verified in the first tree that has it. The documents under a prefix are dealt into blocks, and a task
