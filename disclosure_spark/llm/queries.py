@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, forest, mincut, mixing, pieces, quality, suffixes, surrogates, topk, warc
+from . import codes, fingerprints, forest, mincut, mixing, pieces, quality, suffixes, surrogates, topk, warc
 from .shared import read_table
 
 
@@ -52,10 +52,14 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read_table(spark, sf_dir, "embeddings"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.encode(read_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         op1_suffix_dedup, op2_sentencepiece, op3_mixing, op4_warc, op5_surrogates, op6_quality, op7_html_text,
-        op8_jaccard_join, op9_fingerprints, op10_top_k,
+        op8_jaccard_join, op9_fingerprints, op10_top_k, op13_vector_codes,
     ]
     return {q.__name__: q for q in named} | {"pipeline": corpus_pipeline.run}
 
@@ -176,6 +180,47 @@ FROM borders
 """
 
 
+def _codes(rounds: int = codes.ROUNDS, entries: int = codes.ENTRIES, parts: int = codes.PARTS) -> str:
+    """The rounds of assignment and update, one after another."""
+    steps = f"""
+WITH usable AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), kept AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS r, * FROM usable
+), part AS MATERIALIZED (
+    SELECT r, p, list_slice(v, len(v) // {parts} * p + 1, len(v) // {parts} * (p + 1)) AS x FROM kept, range({parts}) AS positions(p)
+), book0 AS MATERIALIZED (
+    SELECT p, r - 1 AS e, x AS c FROM part WHERE r <= {entries}
+)"""
+    for k in range(rounds + 1):
+        steps += f""", near{k} AS MATERIALIZED (
+    SELECT r, p, min(gap * {entries} + e) % {entries} AS e, min(gap) AS gap
+    FROM (SELECT r, part.p, e, list_sum(list_transform(list_zip(x, c), lambda q: (q[1] - q[2]) * (q[1] - q[2]))) AS gap
+          FROM part JOIN book{k} ON part.p = book{k}.p)
+    GROUP BY r, p
+)"""
+        if k < rounds:
+            steps += f""", mean{k} AS (
+    SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c
+    FROM (SELECT p, e, i, sum(x[i]) AS s, count(*) AS n
+          FROM (SELECT part.p, e, x, unnest(range(1, len(x) + 1)) AS i FROM part JOIN near{k} USING (r, p)) GROUP BY p, e, i)
+    GROUP BY p, e
+), book{k + 1} AS MATERIALIZED (
+    SELECT p, e, coalesce(mean{k}.c, book{k}.c) AS c FROM book{k} LEFT JOIN mean{k} USING (p, e)
+)"""
+    return steps + f""", coded AS (
+    SELECT r, string_agg(printf('%02x', CAST(e AS INTEGER)), '' ORDER BY p) AS code, CAST(sum(gap) AS BIGINT) AS error
+    FROM near{rounds} GROUP BY r
+), digest AS (
+    SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{rounds}
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (r), digest
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL cannot express the others; tests/llm compares them with brute force."""
-    return {"op3_mixing": _MIX, "op4_warc": _WARC, "op10_top_k": _TOP_K}
+    return {"op3_mixing": _MIX, "op4_warc": _WARC, "op10_top_k": _TOP_K, "op13_vector_codes": _codes()}
