@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import codes, fingerprints, forest, mincut, mixing, pieces, quality, suffixes, surrogates, topk, warc
+from . import alignment, codes, fingerprints, forest, mincut, mixing, pieces, quality, suffixes, surrogates, topk, warc
 from .shared import read_table
 
 
@@ -52,6 +52,10 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read_table(spark, sf_dir, "embeddings"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str, a_file: str = alignment.A_FILE, b_file: str = alignment.B_FILE) -> DataFrame:
+    return alignment.align(read_table(spark, sf_dir, "documents"), alignment.load(a_file, b_file))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.encode(read_table(spark, sf_dir, "embeddings"))
 
@@ -59,7 +63,7 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         op1_suffix_dedup, op2_sentencepiece, op3_mixing, op4_warc, op5_surrogates, op6_quality, op7_html_text,
-        op8_jaccard_join, op9_fingerprints, op10_top_k, op13_vector_codes,
+        op8_jaccard_join, op9_fingerprints, op10_top_k, op12_alignment, op13_vector_codes,
     ]
     return {q.__name__: q for q in named} | {"pipeline": corpus_pipeline.run}
 
