@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alignment, codes, fingerprints, forest, mincut, mixing, pieces, quality, suffixes, surrogates, topk, warc
+from . import alignment, codes, fingerprints, forest, mincut, mixing, pieces, quality, stars, suffixes, surrogates, topk, warc
 from .shared import read_table
 
 
@@ -52,6 +52,10 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read_table(spark, sf_dir, "embeddings"))
 
 
+def op11_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stars.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str, a_file: str = alignment.A_FILE, b_file: str = alignment.B_FILE) -> DataFrame:
     return alignment.align(read_table(spark, sf_dir, "documents"), alignment.load(a_file, b_file))
 
@@ -63,7 +67,7 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         op1_suffix_dedup, op2_sentencepiece, op3_mixing, op4_warc, op5_surrogates, op6_quality, op7_html_text,
-        op8_jaccard_join, op9_fingerprints, op10_top_k, op12_alignment, op13_vector_codes,
+        op8_jaccard_join, op9_fingerprints, op10_top_k, op11_near_dedup, op12_alignment, op13_vector_codes,
     ]
     return {q.__name__: q for q in named} | {"pipeline": corpus_pipeline.run}
 
@@ -184,6 +188,35 @@ FROM borders
 """
 
 
+_WORDS_OF = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"
+
+_NEAR = f"""
+WITH RECURSIVE worded AS (
+    SELECT row_number() OVER () AS r, doc_id, {_WORDS_OF} AS w FROM documents
+), shingled AS MATERIALIZED (
+    SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {stars.WORDS} THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - {stars.WORDS - 2}), lambda i: array_to_string(w[i : i + {stars.WORDS - 1}], ' '))) END AS s
+    FROM worded
+), entry AS MATERIALIZED (
+    SELECT r, len(s) AS n, unnest(s) AS x FROM shingled
+), common AS (
+    SELECT a.r AS p, b.r AS q, any_value(a.n) AS pn, any_value(b.n) AS qn, count(*) AS c
+    FROM entry a JOIN entry b ON a.x = b.x AND a.r < b.r AND 100 * least(a.n, b.n) >= {stars.PERCENT} * greatest(a.n, b.n)
+    GROUP BY a.r, b.r
+), link AS MATERIALIZED (
+    SELECT p, q FROM common WHERE 100 * c >= {stars.PERCENT} * (pn + qn - c)
+), both_ways AS MATERIALIZED (
+    SELECT p, q FROM link UNION ALL SELECT q, p FROM link
+), reach(r, t) AS (
+    SELECT r, r FROM shingled UNION SELECT reach.r, both_ways.q FROM reach JOIN both_ways ON reach.t = both_ways.p
+), least_id AS (
+    SELECT reach.r, min(shingled.doc_id) AS component_id FROM reach JOIN shingled ON reach.t = shingled.r GROUP BY reach.r
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM shingled JOIN least_id USING (r)
+"""
+
+
 def _codes(rounds: int = codes.ROUNDS, entries: int = codes.ENTRIES, parts: int = codes.PARTS) -> str:
     """The rounds of assignment and update, one after another."""
     steps = f"""
@@ -227,4 +260,4 @@ FROM kept JOIN coded USING (r), digest
 
 def oracle_sql() -> dict[str, str]:
     """SQL cannot express the others; tests/llm compares them with brute force."""
-    return {"op3_mixing": _MIX, "op4_warc": _WARC, "op10_top_k": _TOP_K, "op13_vector_codes": _codes()}
+    return {"op3_mixing": _MIX, "op4_warc": _WARC, "op10_top_k": _TOP_K, "op11_near_dedup": _NEAR, "op13_vector_codes": _codes()}
