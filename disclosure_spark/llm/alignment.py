@@ -12,9 +12,9 @@ and where the counts of the corpus go back to them.
 
 from __future__ import annotations
 
-import base64
 import hashlib
 import json
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,8 @@ A_FILE = "/opt/tokenizers/byte_bpe_50k.json"
 B_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 # Fixed value: how the vocabulary of A splits a text before merging.
 A_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CHUNK = 1 << 20  # bytes of text in a block; a longer text is a block of its own
+CHUNK = 1 << 20  # characters of text in a block; a longer text is a block of its own
+PART = 1 << 17  # characters of a block that are aligned at a time
 LONG = 100_000  # characters from which a text goes to the slower encoder, which has no limit to white space
 LINKS = 1 << 21  # links expanded at a time
 BIG = 1024  # links of a group from which its ids are counted instead
@@ -75,8 +76,8 @@ class Encoders:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.a_sizes, self.b_sizes = (np.array(list(map(len, x))) for x in (self.a_bytes, self.b_bytes))
         # The decimal text of an id with the sign that follows it.
-        self.a_texts = [f"{i}{sign}" for i in range(len(self.a_bytes)) for sign in ",|"]
-        self.b_texts = [f"{i}{sign}" for i in range(len(self.b_bytes)) for sign in (",", ";", "")]
+        self.texts = [f"{i}{sign}" for i in range(len(self.a_bytes)) for sign in ",|"]
+        self.texts += [f"{i}{sign}" for i in range(len(self.b_bytes)) for sign in (",", ";", "")]
 
     def a_ids(self, text: str) -> list[int]:
         if len(text) < LONG:
@@ -162,42 +163,48 @@ def links(a: np.ndarray, b: np.ndarray, ga: np.ndarray, gb: np.ndarray, doc: np.
     return flat // scale, flat % scale, many
 
 
-def block(texts: list[str], encoders: Encoders) -> dict:
-    """What the texts of a block link: columns of documents, and the block's pairs."""
+def aligned(texts: list[str], encoders: Encoders) -> tuple[list, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """n_a, n_b, n_groups, n_links and groups_sha256 of each text, and (text, pair, how often) of all links."""
     ids = [encoders.both(t) for t in texts]
     n_a, n_b = (np.array([len(x[k]) for x in ids], np.int64) for k in (0, 1))
-    a, b = (np.fromiter((i for x in ids for i in x[k]), np.int64) for k in (0, 1))
-    a_sizes, b_sizes = encoders.a_sizes[a], encoders.b_sizes[b]
-    group = coalesce(a_sizes, b_sizes)
+    a, b = (np.fromiter(chain.from_iterable(x[k] for x in ids), np.int64, n.sum()) for k, n in ((0, n_a), (1, n_b)))
+    group = coalesce(encoders.a_sizes[a], encoders.b_sizes[b])
     ga, gb = group[: len(a)], group[len(a) :]
     n = int(group.max()) + 1 if len(group) else 0
-    of_token = np.repeat(np.arange(len(texts)), n_a)
     doc = np.zeros(n, np.int64)
-    doc[ga] = of_token  # every group has tokens of both
+    doc[ga] = np.repeat(np.arange(len(texts)), n_a)  # every group has tokens of both
     n_groups = np.bincount(doc, minlength=len(texts))
-    na, nb = np.bincount(ga, minlength=n), np.bincount(gb, minlength=n)
     n_links = np.zeros(len(texts), np.int64)
-    np.add.at(n_links, doc, na * nb)
+    np.add.at(n_links, doc, np.bincount(ga, minlength=n) * np.bincount(gb, minlength=n))
 
     # Tokens group by group, A before B, each with the sign behind it.
     order = np.argsort(group, kind="stable")
-    is_b = order >= len(a)
-    last = np.concatenate((np.diff(group[order] * 2 + is_b) != 0, [True])) if n else np.zeros(0, bool)
-    text_of = np.where(is_b, 0, np.concatenate([a, b])[order] * 2 + last)
-    doc_of = doc[group[order]]
-    final = np.concatenate((doc_of[1:] != doc_of[:-1], [True])) if n else last
-    text_of = np.where(is_b, np.concatenate([a, b])[order] * 3 + last + final + 2 * len(encoders.a_bytes), text_of).tolist()
-    table = encoders.a_texts + encoders.b_texts
+    token, is_b, group = np.concatenate([a, b])[order], order >= len(a), group[order]
+    last = np.concatenate((np.diff(group * 2 + is_b) != 0, [True])) if n else np.zeros(0, bool)
+    final = np.concatenate((np.diff(doc[group]) != 0, [True])) if n else last
+    place = np.where(is_b, token * 3 + last + final + 2 * len(encoders.a_bytes), token * 2 + last).tolist()
     bounds = np.concatenate(([0], np.cumsum(n_a + n_b))).tolist()
     digests = [
-        hashlib.sha256("".join(map(table.__getitem__, text_of[i:j])).encode()).hexdigest() if j > i else ""
+        hashlib.sha256("".join(map(encoders.texts.__getitem__, place[i:j])).encode()).hexdigest() if j > i else ""
         for i, j in zip(bounds[:-1], bounds[1:], strict=True)
     ]
-    where, pair, mult = links(a, b, ga, gb, doc, len(encoders.b_bytes))
+    return [n_a, n_b, n_groups, n_links, digests], links(a, b, ga, gb, doc, len(encoders.b_bytes))
+
+
+def block(texts: list[str], encoders: Encoders) -> dict:
+    """What the texts of a block link: columns of documents, and the block's pairs."""
+    parts, begin, size = [], 0, 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= PART or i + 1 == len(texts):
+            columns, (where, pair, mult) = aligned(texts[begin : i + 1], encoders)
+            parts.append([*columns, where + begin, pair, mult])
+            begin, size = i + 1, 0
+    *columns, where, pair, mult = (np.concatenate(x) for x in zip(*parts, strict=True))
     pairs, idx = np.unique(pair, return_inverse=True)
     df = np.bincount(idx, minlength=len(pairs))
     ends = np.searchsorted(where, np.arange(len(texts) + 1))
-    return {"docs": [n_a, n_b, n_groups, n_links, digests], "ends": ends, "idx": idx, "mult": mult, "pairs": pairs, "df": df}
+    return {"docs": columns, "ends": ends, "idx": idx, "mult": mult, "pairs": pairs, "df": df}
 
 
 def blocks(docs: DataFrame, model: tuple[bytes, bytes], chunk: int = CHUNK) -> DataFrame:
@@ -208,13 +215,13 @@ def blocks(docs: DataFrame, model: tuple[bytes, bytes], chunk: int = CHUNK) -> D
 
         encoders, number = Encoders(model), TaskContext.get().partitionId() << 32
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            begin = size = 0
-            for i, text in enumerate(texts):
-                size += len(text)
-                if size < chunk and i + 1 < len(texts):
+            begin, size, texts = 0, 0, []
+            for i in range(batch.num_rows):
+                texts.append(batch.column(1)[i].as_py() or "")
+                size += len(texts[-1])
+                if size < chunk and i + 1 < batch.num_rows:
                     continue
-                got = block(texts[begin : i + 1], encoders)
+                got = block(texts, encoders)
                 offsets = pa.array(got["ends"], pa.int32())
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(got[k], t)) for k, t in (("idx", pa.int32()), ("mult", pa.int64()))]
                 values = [batch.column(0).slice(begin, i + 1 - begin), *[pa.array(v, pa.int64()) for v in got["docs"][:4]], pa.array(got["docs"][4], pa.string()), *lists]
@@ -222,7 +229,7 @@ def blocks(docs: DataFrame, model: tuple[bytes, bytes], chunk: int = CHUNK) -> D
                 row = [pa.array([number], pa.int64()), pa.StructArray.from_arrays(values, names=names), pa.array(got["pairs"], pa.int64()), pa.array(got["df"], pa.int64())]
                 nested = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in row[1:]]
                 yield pa.RecordBatch.from_arrays([row[0], *nested], names=["block", "docs", "pairs", "df"])
-                number, begin, size = number + 1, i + 1, 0
+                number, begin, size, texts = number + 1, i + 1, 0, []
 
     return docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "text").mapInArrow(task, BLOCKS)
 

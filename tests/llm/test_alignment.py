@@ -78,6 +78,7 @@ def test_align(spark, sf_dir, model, library, monkeypatch, chunk, big):
     docs = spark.createDataFrame(rows, "doc_id int, block string, pair int, text string").repartition(3)
     monkeypatch.setattr(alignment, "LINKS", 500 if big == 3 else 1 << 21)
     monkeypatch.setattr(alignment, "BIG", big)
+    monkeypatch.setattr(alignment, "PART", 90 if big == 3 else 1 << 17)
     got = alignment.align(docs, model, chunk)
     names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     expected = Counter((i, *row) for i, row in zip(ids, naive(texts, library), strict=True))
