@@ -1,26 +1,30 @@
 """Registered queries and the SQL that states the same results.
 
-All queries run over the whole of ``lineitem`` (as nested documents and the flat
+All queries run over the whole of ``lineitem`` (as nested documents, also in JSON files, and the flat
 table made from them, see FIXTURES.md) or of ``documents`` and ``labels`` (as a
-blob listing and what of it has landed).
+blob listing, also in JSON files, and what of it has landed).
 """
 
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from disclosure_spark import fixtures
-from disclosure_spark.operators import blobs, quality, store
+from disclosure_spark.operators import blobs, ledger, partials, quality, store, versions
 from disclosure_spark.operators.flatten import flatten, flatten_counts
-from disclosure_spark.plans import explore, profile
+from disclosure_spark.plans import explore, jobs, profile
 from disclosure_spark.schemas import FLAT_NAMES, PARTITION_COLUMN, REQUIRED_NAMES
+from disclosure_spark.sources.documents import read_index_documents
+from disclosure_spark.sources.listing import read_listing
+from disclosure_spark.sources.tables import read_index_files, read_own_export, write_csv_export
 from disclosure_spark.workspace import run_path
 
 try:
@@ -34,6 +38,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 ENTITY = "Carrier-A"
 BLOBS = {"file_type": "in_network_rates", "max_size": 5000, "max_files": 200}
 REPLACED_YEAR = "1998"
+ONE_DATE = "1996-03-01"
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -65,7 +70,7 @@ def _load_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(quality.partition_counts(fixtures.index_files(spark, sf_dir)))
+    return _plain(quality.stored_counts(spark, fixtures.stored(spark, sf_dir).table))
 
 
 def _partition_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,9 +78,7 @@ def _partition_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = run_path(spark, "partition_replace")
     rows = store.to_table_rows(fixtures.processed_files(spark, sf_dir))
     store.replace_partitions(rows, target)
-    of_year = F.year(PARTITION_COLUMN) == int(REPLACED_YEAR)
-    reload = rows.filter(of_year & F.col("in_network_location").isNotNull())
-    store.replace_partitions(reload, target)
+    store.replace_partitions(_reload(rows), target)
     return _plain(quality.partition_counts(spark.read.parquet(target)))
 
 
@@ -84,6 +87,113 @@ def _load_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(quality.compare_counts(processed, fixtures.index_files(spark, sf_dir)))
 
 
+def _of_year() -> Column:
+    return F.year(PARTITION_COLUMN) == int(REPLACED_YEAR)
+
+
+def _reload(rows: DataFrame) -> DataFrame:
+    """One year without the rows that have no network file."""
+    return rows.filter(_of_year() & F.col("in_network_location").isNotNull())
+
+
+def _fresh_name(name: str) -> str:
+    return f"{name}_{uuid.uuid4().hex}"
+
+
+def _flatten_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From JSON files: parsed once, staged by date, flattened."""
+    stage = run_path(spark, "flatten_files")
+    documents = read_index_documents(spark, fixtures.landed_json(spark, sf_dir))
+    jobs.stage_documents(documents.withColumn(jobs.STAGE_DATE, F.substring("source_file", 1, 10)), stage, by_date=True)
+    dates, _ = jobs.document_dates(jobs.staged_documents(spark, stage))
+    rows = jobs.flat_by_date(spark, stage, fixtures.PROCESSED_AT, {d: most for d, (_, most) in dates.items()})
+    return rows.select(FLAT_NAMES)
+
+
+def _listing_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The blob listing read from its JSON pages."""
+    page = F.regexp_extract("page", r"page_(\d+)[.]json$", 1).cast("long")
+    return read_listing(spark, fixtures.landed_listing(spark, sf_dir)).withColumn("page", page)
+
+
+def _one_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain(read_index_files(spark, fixtures.stored(spark, sf_dir).table, [ONE_DATE]))
+
+
+def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that the typed load refuses, with why."""
+    _, refused, _ = store.split_refused(fixtures.damaged_files(spark, sf_dir), run_path(spark, "quarantine"))
+    return refused.select(*[c for c in FLAT_NAMES if c != "processed_at"], "reason")
+
+
+def _load_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of a table that has lost rows of some dates."""
+    kept = fixtures.index_files(spark, sf_dir).filter(~(_of_year() & F.col("in_network_location").isNull()))
+    return _plain(quality.compare_counts(fixtures.processed_files(spark, sf_dir), kept))
+
+
+def _catalog_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As partition_replace, in a catalog table."""
+    table = _fresh_name("catalog_replace")
+    store.create_table(spark, table, run_path(spark, "catalog_replace"))
+    rows = store.to_table_rows(fixtures.processed_files(spark, sf_dir))
+    store.replace_table_partitions(rows, table)
+    store.replace_table_partitions(_reload(rows), table)
+    counted = spark.table(table).groupBy(PARTITION_COLUMN).agg(F.count("*").alias("rows"), F.count_distinct("source_file").alias("source_files"))
+    return _plain(counted)
+
+
+def _publish_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All dates published at once, a year again, and a load that is refused and changes nothing."""
+    table = _fresh_name("publish_dates")
+    versions.create_versioned(spark, table, run_path(spark, "publish_dates"))
+    rows = store.to_table_rows(fixtures.processed_files(spark, sf_dir))
+    versions.publish(rows, table)
+    versions.publish(_reload(rows), table)
+    try:
+        versions.publish(rows.filter(_of_year()), table, expected={ONE_DATE: 1})
+    except quality.CountMismatchError:
+        pass
+    counted = spark.table(table).groupBy(PARTITION_COLUMN).agg(F.count("*").alias("rows"), F.count_distinct("source_file").alias("source_files"))
+    return _plain(counted)
+
+
+def _compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates in many small files, packed."""
+    table = _fresh_name("compaction")
+    versions.create_versioned(spark, table, run_path(spark, "compaction"))
+    counts = versions.publish(fixtures.index_files(spark, sf_dir).repartition(8), table)
+    versions.compact(spark, table, list(counts))
+    return _plain(versions.live_files(spark, table))
+
+
+def _csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table with awkward texts, written as CSV and read again."""
+    path = run_path(spark, "csv_export")
+    ends = lambda x: F.col("plan_id").endswith(x)
+    awkward = F.when(ends("1"), F.lit("")).when(ends("2"), F.lit("NA")).when(ends("3"), F.lit(' a "b",\n c ')).otherwise(F.col("plan_sponsor_name"))
+    write_csv_export(fixtures.index_files(spark, sf_dir).withColumn("plan_sponsor_name", awkward), path)
+    return _plain(read_own_export(spark, path))
+
+
+def _partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partials of all dates, after one year was replaced and only it read again."""
+    table, path = run_path(spark, "partials_table"), run_path(spark, "partials")
+    rows = fixtures.index_files(spark, sf_dir)
+    store.replace_partitions(rows, table)
+    partials.refresh(spark, spark.read.parquet(table), path)
+    store.replace_partitions(_reload(rows), table)
+    dates = [str(r[0]) for r in rows.filter(_of_year()).select(PARTITION_COLUMN).distinct().collect()]
+    partials.refresh(spark, spark.read.parquet(table), path, dates)
+    return spark.read.parquet(path)
+
+
+def _landed_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listing against what an earlier run, which listed the other way round, has noted."""
+    marked = ledger.mark(fixtures.whole_plan(spark, sf_dir), fixtures.landed_ledger(spark, sf_dir))
+    return marked.select("pos", "name", "path", "status", "collision")
+
+
 def _plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blobs.plan_downloads(fixtures.blob_listing(spark, sf_dir), source="mrf", **BLOBS)
 
@@ -141,6 +251,19 @@ def library_queries() -> dict[str, Query]:
         "rows_per_file_hist": _on_table(profile.rows_per_file_histogram),
         "load_typed": _load_typed,
         "partition_counts": _partition_counts,
+        "flatten_files": _flatten_files,
+        "listing_file": _listing_file,
+        "one_date": _one_date,
+        "quarantine": _quarantine,
+        "not_null_damaged": lambda spark, sf_dir: quality.not_null_check(fixtures.damaged_files(spark, sf_dir)),
+        "load_mismatch": _load_mismatch,
+        "catalog_replace": _catalog_replace,
+        "publish_dates": _publish_dates,
+        "compaction": _compaction,
+        "csv_export": _csv_export,
+        "overview_partials": lambda spark, sf_dir: partials.overview(_partials(spark, sf_dir)),
+        "entity_partials": lambda spark, sf_dir: partials.entity_profile(_partials(spark, sf_dir)),
+        "landed_ledger": _landed_ledger,
         "partition_replace": _partition_replace,
         "load_verify": _load_verify,
         "blob_plan": _plan,
@@ -260,6 +383,28 @@ def _nulls(column: str) -> str:
     return f"count(*) FILTER (WHERE {column} IS NULL)"
 
 
+_KEPT = f"(substr(reporting_date, 1, 4) <> '{REPLACED_YEAR}' OR in_network_location IS NOT NULL)"
+
+_REPLACED = f"""
+SELECT reporting_date AS {PARTITION_COLUMN}, count(*) AS rows, count(DISTINCT source_file) AS source_files
+FROM index_files WHERE {_KEPT} GROUP BY reporting_date
+"""
+
+# The table's columns but for its timestamps, dates as text.
+_TABLE_TEXTS = ", ".join(n for n in FLAT_NAMES if n != "processed_at")
+
+_AWKWARD = """CASE WHEN plan_id LIKE '%1' THEN '' WHEN plan_id LIKE '%2' THEN 'NA'
+    WHEN plan_id LIKE '%3' THEN ' a "b",' || chr(10) || ' c ' ELSE plan_sponsor_name END AS plan_sponsor_name"""
+
+_DAMAGED = """
+, damaged AS (
+    SELECT * REPLACE (
+        CASE WHEN plan_id LIKE '%7' THEN 'June' ELSE last_updated_on END AS last_updated_on,
+        CASE WHEN NOT (in_network_description IS NULL AND plan_name LIKE '%-2') THEN version END AS version)
+    FROM index_files
+)
+"""
+
 _PER_FILE = "(SELECT source_file, count(*) AS n FROM index_files GROUP BY source_file)"
 
 # Bins are decided by the edges, as computed in double precision.
@@ -395,6 +540,43 @@ def oracle_sql() -> dict[str, str]:
             WHERE substr(reporting_date, 1, 4) <> '{REPLACED_YEAR}'
                OR in_network_location IS NOT NULL
             GROUP BY reporting_date""",
+        "flatten_files": f"""
+            SELECT substr(source_file, 1, 10) || '_issuers_'
+                     || (CAST(regexp_extract(source_file, '_issuer_([0-9]+)_', 1) AS BIGINT) // {fixtures.ISSUERS_PER_FILE}) || '_index.json' AS source_file,
+                   {", ".join(n for n in FLAT_NAMES if n != "source_file")}
+            FROM index_files""",
+        "one_date": f"""
+            SELECT {_TABLE_TEXTS}, reporting_date AS {PARTITION_COLUMN}
+            FROM index_files WHERE reporting_date = '{ONE_DATE}'""",
+        "quarantine": f"""
+            {_DAMAGED}
+            SELECT {", ".join(n for n in FLAT_NAMES if n != "processed_at")},
+                   concat_ws('; ', CASE WHEN last_updated_on = 'June' THEN 'last_updated_on must be a date, not June' END,
+                                   CASE WHEN version IS NULL THEN 'version must be a string, not null' END) AS reason
+            FROM damaged WHERE last_updated_on = 'June' OR version IS NULL""",
+        "not_null_damaged": _DAMAGED + " UNION ALL ".join(
+            f"SELECT '{n}' AS column_name, {_nulls(n)} AS null_count, {_nulls(n)} = 0 AS passed FROM damaged"
+            for n in REQUIRED_NAMES
+        ),
+        "load_mismatch": f"""
+            SELECT reporting_date AS {PARTITION_COLUMN}, count(*) AS rows_expected,
+                   count(*) FILTER (WHERE {_KEPT}) AS rows_loaded, count(*) = count(*) FILTER (WHERE {_KEPT}) AS matches
+            FROM index_files GROUP BY reporting_date""",
+        "catalog_replace": _REPLACED,
+        "publish_dates": _REPLACED,
+        "compaction": f"""
+            SELECT reporting_date AS {PARTITION_COLUMN}, CAST(1 AS BIGINT) AS files, count(*) AS rows
+            FROM index_files GROUP BY reporting_date""",
+        "csv_export": f"""
+            SELECT {_TABLE_TEXTS.replace("plan_sponsor_name", _AWKWARD)} FROM index_files""",
+        "overview_partials": f"""
+            SELECT count(*) AS total_rows, count(DISTINCT source_file) AS source_files
+            FROM index_files WHERE {_KEPT}""",
+        "entity_partials": f"""
+            SELECT reporting_entity_name, count(DISTINCT plan_id) AS unique_plan_id,
+                   count(DISTINCT plan_name) AS unique_plans, count(*) AS total_rows,
+                   {_percent("count(*)", f"SELECT count(*) FROM index_files WHERE {_KEPT}")} AS pct_of_total
+            FROM index_files WHERE {_KEPT} GROUP BY reporting_entity_name""",
         "load_verify": f"""
             SELECT reporting_date AS {PARTITION_COLUMN}, count(*) AS rows_expected,
                    count(*) AS rows_loaded, true AS matches
@@ -407,6 +589,33 @@ def oracle_sql() -> dict[str, str]:
                    count(*) FILTER (WHERE of_type AND size <= 5000) AS after_size,
                    least(count(*) FILTER (WHERE of_type AND size <= 5000), 200) AS after_limit
             FROM (SELECT size, suffix(name, '_in-network-rates.json.gz') AS of_type FROM listing)""",
+        "listing_file": f"""
+            SELECT pos // {fixtures.LISTING_PAGE} AS page,
+                   row_number() OVER (PARTITION BY pos // {fixtures.LISTING_PAGE} ORDER BY pos) - 1 AS pos, name, size, "downloadUrl"
+            FROM listing""",
+        "landed_ledger": """
+            , earlier AS (
+                SELECT pos, path, CASE WHEN pos = max(pos) OVER (PARTITION BY path) THEN path END AS usual
+                FROM pathed WHERE pos IN (SELECT doc_id FROM labels)
+            ), known AS (
+                SELECT DISTINCT pos, usual FROM earlier
+            ), newest AS (
+                SELECT pos, path, min(pos) OVER (PARTITION BY path) AS first_pos FROM pathed
+                WHERE pos NOT IN (SELECT pos FROM known) AND path NOT IN (SELECT usual FROM known WHERE usual IS NOT NULL)
+            ), assigned AS (
+                SELECT pathed.*, plain, suffix,
+                       CASE WHEN known.pos IS NOT NULL THEN known.usual IS NULL
+                            ELSE pathed.pos NOT IN (SELECT pos FROM newest WHERE pos = first_pos) END AS collision,
+                       CASE WHEN known.pos IS NOT NULL AND pathed.pos % 7 <> 0 THEN 'skipped' ELSE 'pending' END AS status
+                FROM pathed JOIN (SELECT DISTINCT pos, plain, suffix FROM renamed) USING (pos) LEFT JOIN known ON known.pos = pathed.pos
+            )
+            SELECT pos, name, status, collision,
+                   CASE WHEN collision
+                        THEN 'mrf/in_network_rates/' || substr(name, 1, 10) || '/'
+                             || substr(plain, 1, least(length(plain) - length(suffix), 113 - length(suffix))) || '-'
+                             || substr(md5(name || chr(10) || "downloadUrl"), 1, 16) || suffix
+                        ELSE path END AS path
+            FROM assigned""",
         "blob_pending": """
             SELECT pos, name, size, "downloadUrl", path FROM marked WHERE status = 'pending'""",
         "blob_status": """

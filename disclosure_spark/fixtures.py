@@ -1,4 +1,4 @@
-"""Test inputs derived from the star-schema tables: documents and a blob listing.
+"""Test inputs derived from the star-schema tables: documents, also as JSON files, and a blob listing.
 
 Every document is made from one ``lineitem`` row with row-local expressions, so
 making them needs no shuffle, and a document has at most 2 structures of 3 plans
@@ -13,9 +13,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators.blobs import SUFFIXES
+from .operators import ledger
+from .operators.blobs import SUFFIXES, plan_downloads
 from .plans.jobs import load, stage_documents, write_flat
-from .workspace import run_path
+from .workspace import arrow_uri, run_path
 
 PROCESSED_AT = "2026-06-01T00:00:00"
 
@@ -132,6 +133,124 @@ def landed_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blob_listing(spark, sf_dir).join(labelled, "pos", "left_semi")
 
 
+def whole_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blobs of all types and sizes, as one type."""
+    return plan_downloads(blob_listing(spark, sf_dir), source="mrf", file_type="in_network_rates", max_files=None, suffix="")
+
+
+def landed_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an earlier run has noted: the labelled blobs, which it listed the other way round; every seventh came a byte short."""
+    labelled = read_table(spark, sf_dir, "labels").select(F.col("doc_id").alias("pos"))
+    earlier = whole_plan(spark, sf_dir).join(labelled, "pos", "left_semi").withColumn("turn", -F.col("pos"))
+    marked = ledger.mark(earlier, spark.createDataFrame([], ledger.LEDGER_SCHEMA), order=["turn"])
+    short = F.col("size") - F.when(F.col("pos") % 7 == 0, 1).otherwise(0)
+    came = marked.filter("status = 'pending'").select("name", "downloadUrl", "path", short.alias("size"))
+    return came.select("*", F.col("size").alias("bytes"), F.lit("2026-06-01").alias("run"), ledger.ledger_date().alias("date"))
+
+
+def write_files(files: DataFrame, root: str) -> None:
+    """Text files below ``root``: one for each ``path`` (relative), of its rows' ``text`` in the order of ``pos``.
+
+    ``before``, ``between`` and ``after`` are columns with what stands around the texts. A file has its final name only when
+    it is complete; a second attempt of a task writes it anew.
+    """
+    spark = files.sparkSession
+    place = arrow_uri(spark, root)
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+
+    def task(batches):
+        import uuid
+        from contextlib import suppress
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(place)
+        path = sink = partial = after = None
+        done = []
+
+        def close() -> None:
+            sink.write(after.encode())
+            sink.close()
+            with suppress(FileNotFoundError):
+                store.delete_file(f"{base}/{path}")
+            store.move(partial, f"{base}/{path}")
+            done.append(path)
+
+        for batch in batches:
+            for name, text, before, between, last in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if name != path:
+                    if sink:
+                        close()
+                    path, after, folder = name, last, f"{base}/{name}".rpartition("/")[0]
+                    store.create_dir(folder, recursive=True)
+                    partial = f"{folder}/_{uuid.uuid4().hex}.part"
+                    sink = store.open_output_stream(partial)
+                    sink.write(before.encode())
+                else:
+                    sink.write(between.encode())
+                sink.write(text.encode())
+        if sink:
+            close()
+        yield pa.RecordBatch.from_arrays([pa.array(done, pa.string())], names=["path"])
+
+    dealt = files.repartition(n, "path").sortWithinPartitions("path", "pos").select("path", "text", "before", "between", "after")
+    dealt.mapInArrow(task, "path string").write.format("noop").mode("overwrite").save()
+
+
+ISSUERS_PER_FILE = 25
+LISTING_PAGE = 1000
+
+
+def landed_json(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the nested documents as multi-line JSON files by date, each an array; written once per application."""
+    key = _key(spark, sf_dir)
+    with _lock:
+        if key not in _json:
+            root = run_path(spark, "landed_json")
+            docs = index_docs(spark, sf_dir)
+            issuers = F.floor(F.regexp_extract("source_file", r"_issuer_(\d+)_", 1).cast("long") / ISSUERS_PER_FILE)
+            date = F.substring("source_file", 1, 10)
+            name = _text(date, "_issuers_", issuers, "_index.json")
+            fields = [c for c in docs.columns if c != "source_file"]
+            files = docs.select(
+                F.concat_ws("/", F.lit("mrf/index"), date, name).alias("path"),
+                F.lit(0).alias("pos"),
+                F.to_json(F.struct(*fields)).alias("text"),
+                F.lit("[\n").alias("before"),
+                F.lit(",\n").alias("between"),
+                F.lit("\n]\n").alias("after"),
+            )
+            write_files(files, root)
+            _json[key] = root
+        return _json[key]
+
+
+def landed_listing(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the blob listing as JSON files, a page of so many blobs each."""
+    root = run_path(spark, "landed_listing")
+    fields = ["name", "size", "downloadUrl"]
+    page = F.floor(F.col("pos") / LISTING_PAGE)
+    files = blob_listing(spark, sf_dir).select(
+        F.concat(F.lit("page_"), F.lpad(page.cast("string"), 12, "0"), F.lit(".json")).alias("path"),
+        "pos",
+        F.to_json(F.struct(*fields)).alias("text"),
+        F.lit('{"blobs": [\n').alias("before"),
+        F.lit(",\n").alias("between"),
+        F.lit("\n]}\n").alias("after"),
+    )
+    write_files(files, root)
+    return root
+
+
+def damaged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat rows of which some have no version or a last update that is no date; FIXTURES.md section 6."""
+    rows = processed_files(spark, sf_dir)
+    undated = F.when(F.col("plan_id").endswith("7"), F.lit("June")).otherwise(F.col("last_updated_on"))
+    unversioned = F.when(~(F.col("in_network_description").isNull() & F.col("plan_name").endswith("-2")), F.col("version"))
+    return rows.withColumn("last_updated_on", undated).withColumn("version", unversioned)
+
+
 @dataclass(frozen=True)
 class Stored:
     """Paths of the flat rows as the transform wrote them, and of the loaded table."""
@@ -141,6 +260,7 @@ class Stored:
 
 
 _documents: dict[tuple[str, str], str] = {}
+_json: dict[tuple[str, str], str] = {}
 _stored: dict[tuple[str, str], Stored] = {}
 _frames: dict[str, DataFrame] = {}
 _lock = threading.RLock()

@@ -6,6 +6,8 @@ from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame
 
+from ..workspace import arrow_uri
+
 # Fixed value: bytes held in memory per running download.
 CHUNK_BYTES = 1 << 20
 
@@ -20,11 +22,13 @@ def fetch(
     tasks: int | None = None,
     headers: Mapping[str, str] | None = None,
     timeout: float = 600.0,
+    replace: bool = False,
 ) -> DataFrame:
     """Copy each ``downloadUrl`` of ``pending`` to its ``path`` below ``root``.
 
-    ``root`` is a folder that all executors reach, as a path or as a URI that
-    Arrow's file systems know. The files are spread evenly
+    ``root`` is a folder that all executors reach, as a path or URI that Spark knows. A file that is
+    there is kept; with ``replace`` only if it has the size that the source tells, so
+    that a partial or outdated one is fetched. The files are spread evenly
     over ``tasks`` tasks. A download is streamed in chunks to a name of its own
     and then renamed, so a lost task leaves no half-written file under a final
     name, and its second attempt finds what the first one finished. A file that
@@ -36,6 +40,7 @@ def fetch(
     spark = pending.sparkSession
     headers = dict(headers or {})
     chunk_bytes = CHUNK_BYTES
+    place = arrow_uri(spark, root)
 
     def run(batches: Iterator) -> Iterator:
         import urllib.request
@@ -44,7 +49,7 @@ def fetch(
         import pyarrow as pa
         from pyarrow import fs
 
-        store, base = fs.FileSystem.from_uri(root.replace("s3a://", "s3://", 1))
+        store, base = fs.FileSystem.from_uri(place)
         text = pa.string()
         report_schema = pa.schema(
             [("path", text), ("status", text), ("bytes", pa.int64()), ("error", text)]
@@ -55,7 +60,8 @@ def fetch(
                 raise ValueError("the path leaves the landing zone")
             target = f"{base}/{path}"
             found = store.get_file_info(target)
-            if found.type == fs.FileType.File:
+            here = found.type == fs.FileType.File
+            if here and not replace:
                 return found.size
             folder = target.rpartition("/")[0]
             store.create_dir(folder, recursive=True)
@@ -63,6 +69,8 @@ def fetch(
             request = urllib.request.Request(url, headers=headers)
             size = 0
             with urllib.request.urlopen(request, timeout=timeout) as source:
+                if here and source.headers.get("Content-Length") == str(found.size):
+                    return found.size
                 try:
                     with store.open_output_stream(partial) as sink:
                         while chunk := source.read(chunk_bytes):
@@ -74,6 +82,8 @@ def fetch(
                 except BaseException:
                     store.delete_file(partial)
                     raise
+            if here:
+                store.delete_file(target)
             store.move(partial, target)
             return size
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import percent
@@ -23,6 +23,10 @@ class EmptyResultError(ValueError):
     """A step produced no rows."""
 
 
+class RefusedRowsError(ValueError):
+    """More rows were refused by the typed load than are allowed."""
+
+
 class CountMismatchError(ValueError):
     """A date does not hold the rows it should."""
 
@@ -77,6 +81,23 @@ def partition_counts(df: DataFrame, column: str = PARTITION_COLUMN) -> DataFrame
     return df.groupBy(F.col(column)).agg(F.count("*").alias("rows"))
 
 
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session whose counts of Parquet rows, also by partition, come from the files' footers alone.
+
+    The settings are its own; those of ``spark`` stay as they are.
+    """
+    own = spark.newSession()
+    others = [x for x in own.conf.get("spark.sql.sources.useV1SourceList").split(",") if x.strip() != "parquet"]
+    own.conf.set("spark.sql.sources.useV1SourceList", ",".join(others))
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own
+
+
+def stored_counts(spark: SparkSession, path: str, column: str = PARTITION_COLUMN) -> DataFrame:
+    """:func:`partition_counts` of the files below ``path``, from their footers."""
+    return partition_counts(footer_session(spark).read.parquet(path), column)
+
+
 def compare_counts(source: DataFrame, target: DataFrame, column: str = PARTITION_COLUMN) -> DataFrame:
     """Rows of each date in ``source`` and ``target``, and whether they are equal.
 

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import FLAT_COLUMNS, LOADED_AT, PARTITION_COLUMN, TABLE_COLUMNS, FlatColumn
-from ..workspace import delete_path
+from ..workspace import delete_path, folder_names, path_exists
 
 
 def with_partition_column(df: DataFrame) -> DataFrame:
@@ -33,6 +33,32 @@ def replace_partitions(df: DataFrame, path: str) -> None:
     )
 
 
+def packing_session(spark: SparkSession, target_bytes: int) -> SparkSession:
+    """A session whose scans pack files into tasks up to a size, however many cores there are.
+
+    The settings are its own; those of ``spark`` stay as they are.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
+    own.conf.set("spark.sql.files.openCostInBytes", "0")
+    own.conf.set("spark.sql.files.minPartitionNum", "1")
+    return own
+
+
+def partition_dates(spark: SparkSession, path: str) -> list[str]:
+    """The dates that ``path`` has a partition of; its folder alone is listed."""
+    if not path_exists(spark, path):
+        return []
+    named = (name.partition("=") for name in folder_names(spark, path))
+    return sorted(value for key, _, value in named if key == PARTITION_COLUMN)
+
+
+def empty_rows(spark: SparkSession) -> DataFrame:
+    """The table without a row."""
+    columns = ", ".join(f"{c.name} {c.type}" for c in TABLE_COLUMNS)
+    return spark.createDataFrame([], f"{columns}, {PARTITION_COLUMN} date")
+
+
 def drop_dates(spark: SparkSession, path: str, dates: Sequence[str]) -> None:
     """Remove the partitions of these dates below ``path``, where there are any."""
     for date in dates:
@@ -42,7 +68,7 @@ def drop_dates(spark: SparkSession, path: str, dates: Sequence[str]) -> None:
 def drop_table_dates(spark: SparkSession, table: str, dates: Sequence[str]) -> None:
     """Like :func:`drop_dates`, for a catalog table."""
     for date in dates:
-        spark.sql(f"ALTER TABLE {quoted(table)} DROP IF EXISTS PARTITION ({PARTITION_COLUMN} = DATE {_literal(date)})")
+        spark.sql(f"ALTER TABLE {quoted(table)} DROP IF EXISTS PARTITION ({PARTITION_COLUMN} = DATE {literal(date)})")
 
 
 def to_table_rows(df: DataFrame, loaded_at: datetime | Column | None = None) -> DataFrame:
@@ -69,6 +95,30 @@ def _typed(column: FlatColumn) -> Column:
     return F.coalesce(value.try_cast(column.type), F.raise_error(refusal))
 
 
+def refusals(df: DataFrame) -> Column:
+    """What the typed load would refuse about a row, as text; null for a row that it takes."""
+    reasons = [
+        F.when(F.col(c.name).try_cast(c.type).isNull(), F.concat(F.lit(f"{c.name} must be a {c.type}, not "), F.coalesce(F.col(c.name).cast("string"), F.lit("null"))))
+        for c in FLAT_COLUMNS
+        if c.required
+    ]
+    return F.nullif(F.concat_ws("; ", *reasons), F.lit(""))
+
+
+def split_refused(df: DataFrame, stage: str) -> tuple[DataFrame, DataFrame, int]:
+    """Rows that the load takes, those that it refuses with a ``reason``, and how many these are.
+
+    One pass over ``df`` writes both to ``stage`` in the shared folder and counts them while writing.
+    """
+    seen = Observation("refused")
+    judged = df.withColumn("reason", refusals(df)).withColumn("refused", F.col("reason").isNotNull())
+    judged = judged.observe(seen, F.count_if("refused").alias("refused"))
+    judged.write.partitionBy("refused").parquet(stage)
+    stored = df.sparkSession.read.schema(judged.schema).parquet(stage)
+    taken = stored.filter(~F.col("refused")).drop("refused", "reason")
+    return taken, stored.filter("refused").drop("refused"), seen.get["refused"]
+
+
 def refused_rows(df: DataFrame) -> DataFrame:
     """Rows that the typed load would refuse, to look into after it failed."""
     refused = F.lit(False)
@@ -79,12 +129,16 @@ def refused_rows(df: DataFrame) -> DataFrame:
 
 
 _IDENTIFIER = re.compile(r"[A-Za-z0-9_]+")
+# Fixed value: the table option by which an overwrite replaces the partitions it has rows of, and no others.
+DYNAMIC = ("partitionOverwriteMode", "dynamic")
+NAME_PROPERTY = "disclosure.name"
 
 
 def quoted(table: str) -> str:
     """A possibly qualified table name, checked and in backticks.
 
-    Spark's catalog allows no hyphen in a name; it becomes an underscore.
+    Spark's catalog allows no hyphen in a name; it becomes an underscore. :func:`create_table` keeps the name as
+    given, and :func:`check_table` refuses a table that was made under another one.
     """
     parts = table.replace("-", "_").split(".")
     if not all(_IDENTIFIER.fullmatch(part) for part in parts):
@@ -100,27 +154,58 @@ def create_table(spark: SparkSession, table: str, path: str | None = None, comme
     columns = ", ".join(f"{c.name} {c.type}" for c in TABLE_COLUMNS)
     ddl = (
         f"CREATE TABLE IF NOT EXISTS {quoted(table)} ({columns}, {PARTITION_COLUMN} date) "
-        f"USING parquet PARTITIONED BY ({PARTITION_COLUMN})"
+        f"USING parquet OPTIONS ({DYNAMIC[0]} '{DYNAMIC[1]}') PARTITIONED BY ({PARTITION_COLUMN})"
     )
     if path is not None:
-        ddl += f" LOCATION {_literal(path)}"
+        ddl += f" LOCATION {literal(path)}"
     if comment:
-        ddl += f" COMMENT {_literal(comment)}"
-    spark.sql(ddl)
+        ddl += f" COMMENT {literal(comment)}"
+    spark.sql(ddl + f" TBLPROPERTIES ('{NAME_PROPERTY}' = {literal(table)})")
+    check_table(spark, table)
+
 
+def check_table(spark: SparkSession, table: str) -> None:
+    """Refuse a table that is another one's under a similar name, or whose overwrite would empty all other dates."""
+    described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(table)}").collect()}
+    made = spark.sql(f"SHOW TBLPROPERTIES {quoted(table)} ('{NAME_PROPERTY}')").first()["value"]
+    if made.replace("-", "_") == table.replace("-", "_") and made != table:
+        raise ValueError(f"{table!r} would be the same table as {made!r}")
+    options = described.get("Storage Properties", "").strip("[]").split(", ")
+    if f"{DYNAMIC[0]}={DYNAMIC[1]}" not in options:
+        raise ValueError(f"{table!r} has no option {DYNAMIC[0]} {DYNAMIC[1]!r}, so an overwrite would remove all its dates; see create_table")
 
-def _literal(text: str) -> str:
+
+def literal(text: str) -> str:
+    """A text in SQL."""
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def replace_table_partitions(df: DataFrame, table: str) -> None:
-    """Like :func:`replace_partitions`, for a table made by :func:`create_table`."""
+    """Like :func:`replace_partitions`, for a table made by :func:`create_table`, by whose own option other dates stay."""
+    check_table(df.sparkSession, table)
     names = [c.name for c in TABLE_COLUMNS] + [PARTITION_COLUMN]
-    # Inserting into a catalog table takes the mode from the session, not from the writer.
-    conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
-    mode = conf.get(key)
-    conf.set(key, "dynamic")
-    try:
-        df.select(*names).write.mode("overwrite").insertInto(quoted(table))
-    finally:
-        conf.set(key, mode)
+    df.select(*names).write.mode("overwrite").insertInto(quoted(table))
+
+
+def record_dates(spark: SparkSession, path: str, rows: Mapping[str, int], run: str) -> None:
+    """Note which dates a transform has read, and of how many rows, in a manifest beside the partitions of ``path``."""
+    if rows:
+        noted = spark.createDataFrame([(d, n, run) for d, n in sorted(rows.items())], MANIFEST_SCHEMA)
+        noted.coalesce(1).write.mode("append").parquet(manifest_path(path))
+
+
+MANIFEST_SCHEMA = "date string, rows bigint, run string"
+
+
+def manifest_path(path: str) -> str:
+    """A folder that readers of ``path`` pass over."""
+    return f"{path.rstrip('/')}/_dates"
+
+
+def emptied_dates(spark: SparkSession, path: str) -> set[str]:
+    """Dates that were read last without a row; without a manifest none."""
+    if not path_exists(spark, manifest_path(path)):
+        return set()
+    noted = spark.read.schema(MANIFEST_SCHEMA).parquet(manifest_path(path))
+    last = noted.groupBy("date").agg(F.max_by("rows", "run").alias("rows"))
+    return {r["date"] for r in last.filter("rows = 0").collect()}

@@ -105,6 +105,13 @@ def preview(
     keys: Sequence[str] = ("source_file", "plan_id", "in_network_location"),
     n: int = 5,
 ) -> DataFrame:
-    """The first ``n`` rows in the order of ``keys``, then of the other columns."""
+    """The first ``n`` rows in the order of ``keys``, then of the other columns.
+
+    A first scan reads the keys alone and finds the greatest first key among the first ``n``. All columns
+    are read only of rows up to it: that bound is known before the second scan starts and is pushed into it.
+    """
     rest = [c for c in files.columns if c not in keys]
-    return files.orderBy(*keys, *rest).limit(n)
+    first = files.select(*keys).orderBy(*keys).limit(n)
+    # Nulls come first, so a bound that is null leaves only them.
+    bound = first.agg(F.max(keys[0])).scalar()
+    return files.filter(F.col(keys[0]).isNull() | (F.col(keys[0]) <= bound)).orderBy(*keys, *rest).limit(n)

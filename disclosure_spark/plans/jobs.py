@@ -2,42 +2,55 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
+from functools import reduce
 
-from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import date_prefix
-from ..operators.blobs import mark_landed, plan_downloads, status_counts
-from ..operators.flatten import flatten_by_date, rows_of_document
+from ..operators import ledger, versions
+from ..operators.blobs import plan_downloads, status_counts
+from ..operators.flatten import flatten, flatten_by_date, rows_of_document
 from ..operators.landing import fetch
 from ..operators.quality import (
     EmptyResultError,
     NoDocumentsError,
+    RefusedRowsError,
     RejectedDocumentsError,
+    footer_session,
     observe_documents,
     observe_rows,
+    partition_counts,
     verify_counts,
 )
 from ..operators.store import (
     drop_dates,
     drop_table_dates,
+    emptied_dates,
+    empty_rows,
+    partition_dates,
     quoted,
+    record_dates,
     replace_partitions,
     replace_table_partitions,
+    split_refused,
     to_table_rows,
     with_partition_column,
 )
-from ..schemas import CORRUPT_COLUMN, FLAT_NAMES, PARTITION_COLUMN
+from ..schemas import CORRUPT_COLUMN, FLAT_NAMES, INDEX_SCHEMA
 from ..sources.documents import read_index_documents
 from ..sources.listing import read_landed, read_listing
 from ..sources.tables import read_index_files
-from ..workspace import delete_path, run_path
+from ..workspace import delete_path, folder_bytes, path_exists, run_path
 
 STAGE_ROW_GROUP_BYTES = 16 << 20
+STAGE_DATE = "staged_date"
+LARGE_DATE_BYTES = 256 << 20  # staged bytes from which a date is flattened without a shuffle
+MOST_DOCUMENT_ROWS = 10_000_000  # of a document that one task may write
 
 
 def extract(
@@ -53,10 +66,11 @@ def extract(
     headers: Mapping[str, str] | None = None,
     tasks: int | None = None,
 ) -> dict[str, int]:
-    """Land the planned blobs of a listing below ``root``; skip those already there.
+    """Land the planned blobs of a listing below ``root``; skip those that the ledger has.
 
     Returns the files downloaded, skipped and failed, and how many of all had a collision of paths. A run that was stopped or
-    had failures is taken up again by running it once more.
+    had failures is taken up again by running it once more. What has landed is read from the ledger (``operators.ledger``), of the
+    planned dates only. A date without a ledger adopts its files, once, where their sizes are those of the listing.
     """
     run = run_path(spark, "extract")
     one = spark.createDataFrame([("listing.json", listing_url)], "path string, downloadUrl string")
@@ -72,17 +86,26 @@ def extract(
         max_size=max_size,
         suffix=suffix,
     )
-    folder = f"{source}/{file_type}"
-    store, base = FileSystem.from_uri(root)
-    store.create_dir(f"{base}/{folder}", recursive=True)
+    book = ledger.ledger_path(root, source, file_type)
+    turn = f"{datetime.now(timezone.utc).isoformat()} {uuid.uuid4().hex}"
+    dates = sorted(row[0] for row in plan.select(ledger.ledger_date()).distinct().collect())  # few
+    folder = f"{root.rstrip('/')}/{source}/{file_type}"
+    for date in dates:
+        before = f"{folder}/{date}"
+        if not path_exists(spark, f"{book}/date={date}") and path_exists(spark, before):
+            of_date = plan.filter(ledger.ledger_date() == date)
+            ledger.append(ledger.adopt(of_date, read_landed(spark, before), turn), book)
     # Stored once: the statuses decide what is fetched and are counted afterwards,
-    # when the files they were compared with have changed.
+    # when the ledger they were compared with has changed.
     marked_path = f"{run}/marked"
-    mark_landed(plan, read_landed(spark, f"{root.rstrip('/')}/{folder}")).write.parquet(marked_path)
+    ledger.mark(plan, ledger.read_ledger(spark, book, dates)).write.parquet(marked_path)
     marked = spark.read.parquet(marked_path)
 
     pending = marked.filter(F.col("status") == "pending")
-    fetched = fetch(pending, root, f"{run}/report", tasks=tasks, headers=headers)
+    fetched = fetch(pending, root, f"{run}/report", tasks=tasks, headers=headers, replace=True)
+    arrived = fetched.filter("status = 'downloaded'").select("path", "bytes").distinct()
+    done = pending.join(arrived, "path").select("name", "downloadUrl", "path", "size", "bytes", F.lit(turn).alias("run"))
+    ledger.append(done.distinct(), book)
     statuses = fetched.select("status").unionAll(
         marked.filter(F.col("status") == "skipped").select("status")
     )
@@ -116,23 +139,26 @@ def transform(
     max_rejects: int = 0,
     partitions: int | None = None,
     stage: str | None = None,
+    clear_empty: bool = False,
 ) -> TransformResult:
     """Parse the documents below ``raw`` and replace their dates in ``processed``.
 
-    The text is parsed once, into a nested Parquet copy in the shared folder
+    The text is parsed once, into a nested Parquet copy in the shared folder, by the date in the file's name
     (``stage``; by default a new path per run). That step has no shuffle, so its
     document and reject counts are exact also after the loss of an executor,
     and they are checked before anything in ``processed`` changes. The flatten
     then reads the columnar copy, and a lost task costs no second parse.
-    The dates of the documents are replaced, also one whose documents now give no rows.
+    The dates of the documents are replaced, also one whose documents now give no rows, and noted in a manifest
+    (``operators.store.record_dates``). If no document gives a row the run stops, or with ``clear_empty`` removes their dates.
     A stage that the caller did not name is deleted unless there are rejects or a failure.
     """
+    started = datetime.now(timezone.utc).isoformat()
     processed_at = processed_at or datetime.now()
     keep_stage, stage = stage is not None, stage or run_path(spark, "transform")
 
     read = Observation("documents")
-    documents = read_index_documents(spark, raw, pattern)
-    stage_documents(observe_documents(documents, read), stage)
+    documents = read_index_documents(spark, raw, pattern).withColumn(STAGE_DATE, _date())
+    stage_documents(observe_documents(documents, read), stage, by_date=True)
     found = read.get
     if not found.get("documents"):
         raise NoDocumentsError(f"no documents like {pattern} below {raw}")
@@ -141,15 +167,17 @@ def transform(
             f"{found['rejects']} documents could not be parsed, {max_rejects} allowed; see {stage}"
         )
 
-    staged = spark.read.parquet(stage)
-    rows_by_date, undated = document_dates(staged)
+    dates, undated = document_dates(staged_documents(spark, stage))
     if undated and found["rejects"] + undated > max_rejects:
         raise RejectedDocumentsError(f"{undated} documents have no date in their name, {max_rejects} rejects allowed; see {stage}")
-    if not any(rows_by_date.values()):
+    rows_by_date = {d: n for d, (n, _) in dates.items()}
+    counted = {"rows": 0} | dict.fromkeys(FLAT_NAMES, 0)
+    if any(rows_by_date.values()):
+        counted = write_staged(spark, stage, processed, processed_at, {d: most for d, (_, most) in dates.items()}, partitions)
+    elif not clear_empty:
         raise EmptyResultError("the documents gave no rows; check the input files")
-    dated = staged.filter(_date().isNotNull())
-    counted = write_flat(dated if undated else staged, processed, processed_at, partitions)
     drop_dates(spark, processed, [d for d, rows in rows_by_date.items() if not rows])
+    record_dates(spark, processed, rows_by_date, started)
     rejects = found["rejects"] + undated
     if not (keep_stage or rejects):
         delete_path(spark, stage)
@@ -169,21 +197,77 @@ def _date() -> Column:
     return F.date_format(prefix, "yyyy-MM-dd")
 
 
-def document_dates(documents: DataFrame) -> tuple[dict[str, int], int]:
-    """The flat rows of each date in the names of documents (few), and how many documents have none."""
-    found = documents.groupBy(_date().alias("date")).agg(F.count("*").alias("documents"), F.sum(rows_of_document()).alias("rows"))
+def document_dates(documents: DataFrame) -> tuple[dict[str, tuple[int, int]], int]:
+    """Of each date in the names of documents (few) all flat rows and the most of one document; how many documents have none."""
+    found = documents.groupBy(_date().alias("date")).agg(
+        F.count("*").alias("documents"), F.sum(rows_of_document()).alias("rows"), F.max(rows_of_document()).alias("most")
+    )
     by_date = {row["date"]: row for row in found.collect()}
     undated = by_date.pop(None, None)
-    return {d: row["rows"] or 0 for d, row in by_date.items()}, undated["documents"] if undated else 0
+    return {d: (row["rows"] or 0, row["most"] or 0) for d, row in by_date.items()}, undated["documents"] if undated else 0
 
 
-def stage_documents(documents: DataFrame, stage: str) -> None:
+def stage_documents(documents: DataFrame, stage: str, by_date: bool = False) -> None:
     """Keep nested documents as Parquet, in row groups small enough to share out.
 
     A document becomes many rows, so the tasks that flatten should be able to
-    take less of the copy than a row group of the usual size.
+    take less of the copy than a row group of the usual size. ``by_date`` puts each date into a folder of its own.
+    """
+    writer = documents.write.mode("overwrite").option("parquet.block.size", STAGE_ROW_GROUP_BYTES)
+    (writer.partitionBy(STAGE_DATE) if by_date else writer).parquet(stage)
+
+
+def staged_documents(spark: SparkSession, stage: str, dates: Sequence[str] | None = None) -> DataFrame:
+    """The documents of a stage by date; of these dates only, whose folders alone are then listed."""
+    reader = spark.read.schema(f"source_file string, {INDEX_SCHEMA}, {STAGE_DATE} string").option("basePath", stage)
+    return reader.parquet(stage) if dates is None else reader.parquet(*[f"{stage}/{STAGE_DATE}={d}" for d in dates])
+
+
+def large_dates(spark: SparkSession, stage: str, most_rows: Mapping[str, int], least_bytes: int = LARGE_DATE_BYTES) -> list[str]:
+    """Dates that fill tasks of their own: of so many staged bytes, and without a document too large for one task."""
+    return sorted(
+        d for d, most in most_rows.items()
+        if 0 < most <= MOST_DOCUMENT_ROWS and folder_bytes(spark, f"{stage}/{STAGE_DATE}={d}") >= least_bytes
+    )
+
+
+def flat_by_date(
+    spark: SparkSession,
+    stage: str,
+    processed_at: str | datetime,
+    most_rows: Mapping[str, int],
+    partitions: int | None = None,
+    least_bytes: int = LARGE_DATE_BYTES,
+) -> DataFrame:
+    """The flat rows of a stage for a write by date.
+
+    Documents are staged by date, so those of a large date are read by tasks that hold hardly another date: they are flattened where they
+    are, without a shuffle. The small dates, of which a task reads many, are brought together by date.
     """
-    documents.write.mode("overwrite").option("parquet.block.size", STAGE_ROW_GROUP_BYTES).parquet(stage)
+    large = large_dates(spark, stage, most_rows, least_bytes)
+    small = sorted(set(most_rows) - set(large))
+    parts = []
+    if large:
+        parts.append(flatten(staged_documents(spark, stage, large), processed_at))
+    if small:
+        parts.append(flatten_by_date(staged_documents(spark, stage, small), processed_at, partitions))
+    return with_partition_column(reduce(DataFrame.unionByName, parts))
+
+
+def write_staged(
+    spark: SparkSession,
+    stage: str,
+    processed: str,
+    processed_at: str | datetime,
+    most_rows: Mapping[str, int],
+    partitions: int | None = None,
+    least_bytes: int = LARGE_DATE_BYTES,
+) -> dict[str, int]:
+    """Flatten a stage into ``processed``, replacing its dates; gives row and null counts."""
+    written = Observation("rows")
+    rows = flat_by_date(spark, stage, processed_at, most_rows, partitions, least_bytes)
+    replace_partitions(observe_rows(rows, written), processed)
+    return written.get
 
 
 def write_flat(
@@ -211,34 +295,64 @@ def load(
     target: str | None = None,
     *,
     table: str | None = None,
+    versioned: str | None = None,
     dates: Sequence[str] | None = None,
     loaded_at: datetime | Column | None = None,
+    quarantine: str | None = None,
+    max_refused: int = 0,
 ) -> int:
-    """Load processed dates into the table at path ``target`` (or catalog ``table``).
+    """Load processed dates into the table at path ``target`` (or catalog ``table``, or ``versioned`` table).
+
+    Each date of the batch replaces that date in the table and all others stay. A date of which nothing is
+    left in ``processed`` is removed: one that the transform's manifest has as read without a row, and any
+    that is named in ``dates`` while others have rows. A versioned table shows all dates of a load at once or none.
 
-    Each date of the batch replaces that date in the table and all others stay. A date named
-    in ``dates`` of which nothing is left in ``processed`` is removed, if others have rows.
     Casts and required columns are checked in the writing job itself, which
-    publishes nothing when it fails; afterwards the rows of every date are
-    compared with the source. Returns the rows loaded. No shuffle: the
+    publishes nothing when it fails. With ``quarantine`` refused rows do not fail the load: they are added there with their
+    reason, and the others are loaded, unless more than ``max_refused`` are refused. Afterwards the rows of every date are
+    compared with the source, both from the files' footers. Returns the rows loaded. No shuffle: the
     processed files are by date already.
     """
-    if (target is None) == (table is None):
-        raise ValueError("give either target or table")
-    source = read_index_files(spark, processed, dates)
-    if source.isEmpty():
-        raise EmptyResultError(f"no rows to load in {processed}")
-    emptied = []
-    if dates is not None:
-        present = {str(r[0]) for r in source.select(PARTITION_COLUMN).distinct().collect()}
-        emptied = sorted({str(d) for d in dates} - present)
+    if sum(x is not None for x in (target, table, versioned)) != 1:
+        raise ValueError("give one of target, table and versioned")
+    asked = None if dates is None else {str(d) for d in dates}
+    stored = set(partition_dates(spark, processed))
+    present = stored if asked is None else stored & asked
+    emptied = emptied_dates(spark, processed) - stored
+    emptied = sorted(emptied if asked is None else (emptied & asked) | (asked - stored if present else set()))
+    source = read_index_files(spark, processed, dates) if present else None
+    if source is None or source.isEmpty():
+        if not emptied:
+            raise EmptyResultError(f"no rows to load in {processed}")
+        if versioned is not None:
+            versions.publish(empty_rows(spark), versioned, dates=emptied)
+        elif table is not None:
+            drop_table_dates(spark, table, emptied)
+        else:
+            drop_dates(spark, target, emptied)
+        return 0
+
+    counter = footer_session(spark)
+    expected = read_index_files(counter, processed, dates)
+    if quarantine is not None:
+        run = run_path(spark, "load")
+        source, refused, n = split_refused(source, f"{run}/split")
+        expected = source
+        refused.withColumn("refused_at", F.current_timestamp()).write.mode("append").parquet(quarantine)
+        if n > max_refused:
+            raise RefusedRowsError(f"{n} rows are refused, {max_refused} allowed; see {quarantine}")
     rows = to_table_rows(source, loaded_at)
-    if table is not None:
+    if versioned is not None:
+        wanted = {str(r[0]): r[1] for r in partition_counts(expected).collect()}
+        total = sum(versions.publish(rows, versioned, dates=emptied, expected=wanted).values())
+    elif table is not None:
         replace_table_partitions(rows, table)
         drop_table_dates(spark, table, emptied)
-        loaded = spark.table(quoted(table))
+        total = verify_counts(read_index_files(spark, processed, dates) if quarantine is None else source, spark.table(quoted(table)))
     else:
         replace_partitions(rows, target)
         drop_dates(spark, target, emptied)
-        loaded = spark.read.parquet(target)
-    return verify_counts(source, loaded, PARTITION_COLUMN)
+        total = verify_counts(expected, counter.read.parquet(target) if quarantine is None else spark.read.parquet(target))
+    if quarantine is not None:
+        delete_path(spark, run)
+    return total

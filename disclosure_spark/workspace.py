@@ -34,7 +34,43 @@ def run_path(spark: SparkSession, name: str) -> str:
     return workspace(spark, name, uuid.uuid4().hex)
 
 
+def _place(spark: SparkSession, path: str):
+    """Hadoop's path and the file system that Spark reads and writes it with."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place, system = _place(spark, path)
+    return system.exists(place)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is directly in a folder."""
+    place, system = _place(spark, path)
+    return [status.getPath().getName() for status in system.listStatus(place)]
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    place, system = _place(spark, path)
+    return system.getContentSummary(place).getLength() if system.exists(place) else 0
+
+
+# Schemes of one store that Hadoop and Arrow call differently.
+ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs"}
+
+
+def arrow_uri(spark: SparkSession, path: str) -> str:
+    """The place that Spark means by ``path``, as a URI for Arrow's file systems.
+
+    A path without a scheme is on Spark's default file system, not on the disk of whoever opens it.
+    """
+    place, system = _place(spark, path)
+    scheme, _, rest = system.makeQualified(place).toString().partition(":")
+    return f"{ARROW_SCHEMES.get(scheme, scheme)}://{'/' + rest.lstrip('/') if scheme == 'file' else rest.removeprefix('//')}"
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a file or folder, if it is there."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    place, system = _place(spark, path)
+    system.delete(place, True)
