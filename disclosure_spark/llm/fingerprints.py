@@ -8,15 +8,20 @@ of each bin are stored, and likeness is corrected for bits that agree by chance.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import json
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from .shared import discard, drop_shuffles, saved
+from .shared import discard, saved
 
 BINS = 256
 BITS = 8
 PROBES = 8  # before an empty bin looks at all bins that are not empty
 WORDS = 5
+RANGES = 8  # of keys to a shuffle partition, so that a hash deals them evenly
+SAMPLE = 20  # keys for each range that the driver sorts
+MOST_SAMPLED = 1_000_000  # of them in all; beyond, ranges are less even
 SPACE = r"[\x20\x09-\x0D]+"
 _VALUE = 56  # bits below the bin's number
 _NO_VALUE = (1 << _VALUE) - 1
@@ -115,84 +120,108 @@ def as_text(packed: Column) -> Column:
     return F.lower(F.array_join(F.transform(packed, lambda x: F.lpad(F.hex(x), 16, "0")), ""))
 
 
-def followers(rows: DataFrame) -> DataFrame:
-    """Adds ``next``: the key of the row that follows by key, after the last the first.
+def boundaries(keys: DataFrame, ranges: int, sample: int = SAMPLE) -> list[tuple[int, int]]:
+    """The least key of each of at most so many ranges of about as many keys (k1, k2); the first is the least of all.
 
-    Rows are sorted into ranges. Inside a range the next row is a window away;
-    the last row of a range is followed by the first of the next range, which a
-    table of one row per range tells.
+    ``keys`` has no key twice. A sample by hash, about ``sample`` keys for each range and ``MOST_SAMPLED`` in
+    all, is sorted by the driver. It decides how even the ranges are, not what is found.
     """
-    n = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    ranged = saved(rows.repartitionByRange(n, "key").withColumn("part", F.spark_partition_id()), "print_order")
-    firsts = ranged.groupBy("part").agg(F.min("key").alias("first"))
-    after = Window.orderBy("part")
-    turn = F.min("first").over(Window.partitionBy())
-    firsts = firsts.select("part", F.coalesce(F.lead("first").over(after), turn).alias("after"))
-    inside = Window.partitionBy("part").orderBy("key")
-    return (
-        ranged.withColumn("next", F.lead("key").over(inside))
-        .join(firsts, "part")
-        .withColumn("next", F.coalesce("next", "after"))
-        .drop("part", "after")
-    )
+    seen = keys.agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2")).alias("least")).first()
+    if not seen["n"]:
+        return []
+    share = min(1.0, min(ranges * sample, MOST_SAMPLED) / seen["n"])
+    chosen = F.pmod(F.xxhash64("k2", "k1"), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)) + 1)
+    own = sorted(tuple(r) for r in keys.filter(chosen).select("k1", "k2").collect())
+    cuts = {own[i * len(own) // ranges] for i in range(1, ranges)} if own else set()
+    return sorted(cuts | {tuple(seen["least"])})
+
 
+def with_range(rows: DataFrame, cuts: list[tuple[int, int]]) -> DataFrame:
+    """Adds the number of the row's range: that of the last boundary not above (k1, k2).
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+    Boundaries are looked up in two steps, a list of every so many of them and then the list in between,
+    which is broadcast: all of them together are 16 bytes a range.
+    """
+    if not cuts:
+        return rows.withColumn("range", F.lit(0))
+    step = max(1, int(len(cuts) ** 0.5))
+    groups = [cuts[i : i + step] for i in range(0, len(cuts), step)]
+    pairs = "array<struct<k1: bigint, k2: bigint>>"
+    heads = F.from_json(F.lit(json.dumps([{"k1": g[0][0], "k2": g[0][1]} for g in groups])), pairs)
+    listed = [{"_group": i, "_cuts": [{"k1": a, "k2": b} for a, b in g]} for i, g in enumerate(groups)]
+    inner = _local(rows, listed, f"_group: int, _cuts: {pairs}")
+    below = lambda own: F.size(F.filter(own, lambda b: b <= F.struct("k1", "k2"))) - 1
+    grouped = rows.withColumn("_group", below(heads)).join(F.broadcast(inner), "_group")
+    return grouped.withColumn("range", F.col("_group") * step + below(F.col("_cuts"))).drop("_group", "_cuts")
+
+
+def _local(like: DataFrame, rows: list[dict], fields: str) -> DataFrame:
+    """A few rows of the driver as a DataFrame, made in the JVM."""
+    listed = F.from_json(F.lit(json.dumps(rows)), f"array<struct<{fields}>>")
+    return like.sparkSession.range(1).select(F.inline(listed))
+
+
+def neighbours(docs: DataFrame, ranges: int | None = None) -> tuple[DataFrame, WindowSpec]:
+    """Every distinct document once (k1, k2, doc_id, text, copies, inner, ghost, range) and the order of its range.
+
+    Documents are dealt to ranges of their keys and shuffled once, by range. The first of each range is also the last
+    of the range before, as a ghost (that of the first range in the last one), so inside a range
+    each one's next is a window away. A document of several equal rows is two: ``inner`` stands for the copies
+    that are followed by another copy.
+    """
+    spark = docs.sparkSession
+    ranges = ranges or RANGES * max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    keyed = docs.withColumn("k1", F.coalesce("doc_id", F.lit(-(2**63)))).withColumn("k2", F.xxhash64(F.col("doc_id").isNull(), "text"))
+    keys = saved(keyed.groupBy("k1", "k2").agg(F.count("*").alias("copies")), "print_keys")
+    cuts = boundaries(keys, ranges)
+    repeated = saved(keys.filter("copies > 1"), "print_repeated")
+    discard(keys)
+    one = keyed.withColumn("copies", F.lit(1).cast("long"))
+    if not repeated.isEmpty():
+        # Copies are merged before anything is shuffled; all others are as they are.
+        several = keyed.join(repeated.select("k1", "k2"), ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.max("doc_id").alias("doc_id"), F.max("text").alias("text"))
+        several = several.join(repeated, ["k1", "k2"])
+        one = one.join(repeated.select("k1", "k2"), ["k1", "k2"], "left_anti").unionByName(several)
+    ghosts = [{"k1": a, "k2": b, "before": (i - 1) % len(cuts)} for i, (a, b) in enumerate(cuts)]
+    ghosts = _local(docs, ghosts, "k1: bigint, k2: bigint, before: int")
+    # One row a range: its size is bounded by the number of ranges.
+    placed = with_range(one, cuts).join(F.broadcast(ghosts), ["k1", "k2"], "left")
+    spots = F.array(F.struct(F.lit(False).alias("ghost"), F.col("range")))
+    also = F.array(F.struct(F.lit(True).alias("ghost"), F.col("before").alias("range")))
+    spots = F.when(F.col("before").isNull(), spots).otherwise(F.concat(spots, also))
+    dealt = placed.withColumn("spot", F.explode(spots)).select("k1", "k2", "doc_id", "text", "copies", "spot.*").repartition("range")
+    order = Window.partitionBy("range").orderBy("ghost", "k1", "k2")
+    followed = dealt.withColumn("following", F.lead("text").over(order))
+    kinds = F.when((F.col("copies") > 1) & ~F.col("ghost"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))
+    split = followed.withColumn("inner", F.explode(kinds)).withColumn("last", ~F.col("inner"))
+    split = split.withColumn("following", F.when(F.col("inner"), F.col("text")).otherwise(F.col("following")))
+    return split, Window.partitionBy("range").orderBy("ghost", "k1", "k2", "last")
+
+
+def fingerprints(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """Fingerprints of every text and of its edited text.
 
     Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next. A null text is empty. Rows stand in the order of doc_id
     (null first), then of the text's digest; equal rows are one after another.
     A single document follows itself. An empty table gives an empty result.
+    The texts are shuffled once, into ``ranges`` ranges (by default so many to each shuffle partition).
     """
-    # Documents that share id and text are one row with a count until the end. Keys are plain
-    # columns that are never null, so that both joins find the texts where one shuffle put them.
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    keyed = docs.withColumn("k1", F.coalesce("doc_id", F.lit(-(2**63)))).withColumn("k2", F.xxhash64(F.col("doc_id").isNull(), "text"))
-    classes = keyed.groupBy("k1", "k2").agg(
-        F.max("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.max(F.char_length("text")).alias("n_chars")
-    )
-    classes = classes.select(F.struct("k1", "k2").alias("key"), "doc_id", "copies", "n_chars")
-    ordered = saved(followers(classes), "print_next")
-    # Of copies all but the last are followed by a copy: two rows, for these and for the last.
-    kinds = F.when(F.col("copies") > 1, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))
-    lent = F.floor(F.col("n_chars") / 4).cast("int").alias("lent")
-    moves = ordered.withColumn("inner", F.explode(kinds)).select(
-        "key.k1",
-        "key.k2",
-        "doc_id",
-        "inner",
-        F.when(F.col("inner"), F.col("key")).otherwise(F.col("next")).alias("next"),
-        F.when(F.col("inner"), F.col("copies") - 1).otherwise(F.lit(1)).alias("copies"),
-        "n_chars",
-        lent,
-    )
-    moves = moves.select("*", F.coalesce("next.k1", F.lit(0)).alias("n1"), F.coalesce("next.k2", F.lit(0)).alias("n2")).drop("next")
-    turn = Window.partitionBy("k1", "k2").orderBy("k1")
-    one = keyed.select("k1", "k2", "text").withColumn("_turn", F.row_number().over(turn)).filter("_turn = 1").drop("_turn")
-    heads = (
-        one.select(F.col("k1").alias("n1"), F.col("k2").alias("n2"), "text")
-        .join(moves, ["n1", "n2"])
-        .withColumn("head", F.substring("text", F.lit(1), F.col("lent")))
-        .drop("text")
-    )
-    # Written before the texts are shuffled once more, so that only one such shuffle is on disk at a time.
-    heads = saved(heads, "print_heads")
-    drop_shuffles(docs.sparkSession)
-    edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - F.col("lent")), F.col("head"))
-    texts = one.join(heads, ["k1", "k2"]).withColumn("edited", edited)
-    texts = texts.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
-    both = with_fingerprint(with_fingerprint(texts, "text", "own"), "edited", "other")
-    kept = ["k1", "k2", "n1", "n2", "doc_id", "inner", "copies", "n_chars", "edited_sha256", "own", "other"]
-    done = saved(both.select(kept), "prints")
-    discard(heads)
-    drop_shuffles(docs.sparkSession)
-    following = done.filter(~F.col("inner")).select(F.col("k1").alias("n1"), F.col("k2").alias("n2"), F.col("own").alias("next_own"))
+    rows, order = neighbours(docs, ranges)
+    rows = rows.withColumn("n_chars", F.char_length("text")).withColumn("lent", F.floor(F.col("n_chars") / 4).cast("int"))
+    head = F.substring("following", F.lit(1), F.col("lent"))
+    # A ghost only lends its own fingerprint.
+    edited = F.when(~F.col("ghost"), F.concat(F.substring("text", F.lit(1), F.col("n_chars") - F.col("lent")), head))
+    rows = rows.withColumn("edited", edited).withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
+    both = with_fingerprint(with_fingerprint(rows, "text", "own"), "edited", "other")
+    kept = ["range", "ghost", "k1", "k2", "last", "doc_id", "inner", "copies", "n_chars", "edited_sha256", "own", "other"]
+    done = both.select(kept).withColumn("next_own", F.lead("own").over(order)).filter(~F.col("ghost"))
+    times = F.when(F.col("inner"), F.col("copies") - 1).otherwise(F.lit(1))
     return (
-        done.join(following, ["n1", "n2"])
-        .withColumn("near_edited", likeness(F.col("own"), F.col("other")))
+        done.withColumn("near_edited", likeness(F.col("own"), F.col("other")))
         .withColumn("near_next", likeness(F.col("own"), F.col("next_own")))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), times)))
         .select(
             "doc_id",
             F.col("n_chars").cast("long").alias("n_chars"),
