@@ -26,6 +26,7 @@ MOST_UNITS = 400_000  # remembered from batch to batch
 DEPTH = 16  # code points by which suffixes are sorted, the longest piece at most
 _UNIT = re.compile(" +[^ ]*")
 _NONE = np.int32(2**31 - 1)
+_OTHER = np.uint32(0x110000)  # no code point
 _TIED = -1e8  # pieces below this score tie, and the leftmost goes first
 
 
@@ -39,6 +40,7 @@ class Vocabulary:
     tied: int  # ranks from here on tie
     byte_ids: np.ndarray
     raw: list[bytes]  # what each id decodes to
+    signs: np.ndarray  # code points that occur in pieces
 
 
 def load(model: str = MODEL) -> Vocabulary:
@@ -64,8 +66,11 @@ def load(model: str = MODEL) -> Vocabulary:
         raise ValueError(f"a piece is longer than {DEPTH} code points")
     if any(" " in p.lstrip(" ") for p in pieces):
         raise ValueError("a piece has a space behind other signs; units would not be independent")
+    signs = np.unique(_points("".join(pieces)))
+    if len(signs) > 65_000:
+        raise ValueError("the pieces have too many different signs")
     order, rank = np.unique(-np.array(scores), return_inverse=True)
-    return Vocabulary(pieces, np.array(ids, np.int32), rank.astype(np.int32), int(np.searchsorted(order, -_TIED)), byte_ids, raw)
+    return Vocabulary(pieces, np.array(ids, np.int32), rank.astype(np.int32), int(np.searchsorted(order, -_TIED)), byte_ids, raw, signs)
 
 
 def _points(text: str) -> np.ndarray:
@@ -82,8 +87,6 @@ class Index:
 
     def __init__(self, points: np.ndarray):
         self.signs, codes = np.unique(points, return_inverse=True)
-        if len(self.signs) > 65_000:
-            raise ValueError("too many different signs in a batch")
         self.codes = codes.astype(np.uint16) + np.uint16(1)
         bits = 8 if len(self.signs) < 255 else 16
         each = 64 // bits
@@ -128,8 +131,12 @@ class Index:
 
 
 def _edges(points: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """Occurrences of all pieces, sorted by position and length: their keys and pieces."""
-    index = Index(points)
+    """Occurrences of all pieces, sorted by position and length: their keys and pieces.
+
+    Signs that are in no piece share one code, so that however many there are the index can tell the others.
+    """
+    at = np.minimum(np.searchsorted(v.signs, points), len(v.signs) - 1)
+    index = Index(np.where(v.signs[at] == points, points, _OTHER))
     first, last = index.occurrences(v.pieces)
     many = np.maximum(last - first, 0)
     piece = np.repeat(np.arange(len(v.pieces)), many)
