@@ -136,16 +136,29 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray) -> tuple[np.ndarray, np.nd
     return centre, scale, _descend(lambda w: _risk_gradient(w, p, u, prior), p.shape[1]), prior
 
 
+def sample(rows: DataFrame, most: int) -> list:
+    """At most so many rows of doc_id and x, equal ones once, by the least hashes.
+
+    Of a larger table only rows with a hash below a cutoff, which leaves a little more than ``most``
+    of them, are sorted; so what reaches the driver does not grow with the number of tasks.
+    """
+    rows = rows.select("doc_id", "x", F.xxhash64(F.lit(SEED), "doc_id", "x").alias("_hash"))
+    total = rows.count()
+    if total > most:
+        share = min(1.0, (most + 6 * most**0.5 + 100) / total)
+        rows = rows.filter(F.col("_hash") < int(share * 2**64) - 2**63 if share < 1 else F.lit(True))
+    distinct = rows.groupBy("doc_id", "x").agg(F.min("_hash").alias("_hash"))
+    return distinct.orderBy("_hash", "doc_id", "x").limit(most).select("x").collect()
+
+
 def train(rows: DataFrame, labels: DataFrame) -> tuple[list[float], float] | None:
     """Weights of the statistics and the offset, from rows of doc_id, x and held_out; None without a positive."""
     own = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality").filter("doc_id is not null")
     trusted = own.groupBy("doc_id").agg(F.min("quality").alias("least"), F.count_if(F.col("quality").isNull()).alias("unknown"))
     trusted = trusted.filter((F.col("least") == 1) & (F.col("unknown") == 0)).select("doc_id")
     learnt = rows.filter(~F.col("held_out"))
-    order = [F.xxhash64(F.lit(SEED), "doc_id"), "x"]
-    some = lambda df, n: df.orderBy(*order).limit(n).select("x").collect()
-    positive = some(learnt.join(trusted, "doc_id", "left_semi"), MOST_POSITIVE)
-    unlabelled = some(learnt, MOST_UNLABELLED)
+    positive = sample(learnt.join(trusted, "doc_id", "left_semi"), MOST_POSITIVE)
+    unlabelled = sample(learnt, MOST_UNLABELLED)
     if not positive:
         return None
     centre, scale, w, _ = fit(*(np.array([r.x for r in part]) for part in (positive, unlabelled)))
