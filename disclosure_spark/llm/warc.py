@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from disclosure_spark.workspace import run_path
+from disclosure_spark.workspace import arrow_uri, run_path
 
 from .shared import arrow_batch, saved
 
@@ -29,11 +29,10 @@ DATE = "2024-01-01T00:00:00Z"
 
 
 def _open(path: str):
-    """The file system of a path in the shared folder, and the path in it."""
+    """The file system of a URI in the shared folder, and the path in it."""
     from pyarrow import fs
 
-    path = path.replace("s3a://", "s3://", 1)
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    return fs.FileSystem.from_uri(path)
 
 
 class _Out:
@@ -255,7 +254,7 @@ def with_references(pages: DataFrame) -> DataFrame:
 
 def archive(spark: SparkSession, pages: DataFrame, root: str | None = None) -> DataFrame:
     """Write the pages as archives below ``root`` (a new shared folder), normalise them; returns the index table."""
-    root = root or run_path(spark, "warc")
+    root = arrow_uri(spark, root or run_path(spark, "warc"))
     source = pages.select("page_id", "url", "html")
     files = saved(write(with_references(source), root), "warc_files")
     many = max(1, files.count())
