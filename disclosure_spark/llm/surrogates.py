@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .shared import fresh, saved
 
 KEY = "surrogate-key-1"
-ROUNDS = 16  # of collision checks before giving up
+ROUNDS = 16  # of collision checks before surrogates are told apart by a number
 
 # Forms of address with the gender they tell, and given names.
 _MALE = ["Mr", "Herr", "Monsieur", "Señor", "Sr", "г-н", "κ"]
@@ -46,6 +46,7 @@ _TOP = r"\.(?:xn--[A-Za-z0-9-]+|\p{L}[\p{L}\p{M}]+)"
 _HEX = r"[0-9A-Fa-f]{1,4}"
 _BEGIN = r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY(?: BLOCK)?-----"
 _END = r"-----END [A-Z ]{0,30}PRIVATE KEY(?: BLOCK)?-----"
+_MARK = r"-----(?:BEGIN|END) [A-Z ]{0,30}PRIVATE KEY"
 _TOKEN = r"gh[opsru]_|github_pat_|glpat-|sk-|[rs]k_(?:live|test)_|xox[a-z]-|AIza|npm_|hf_|SG\."  # how access tokens begin
 _PHONES = [
     # With the country; in groups of two to five digits from the trunk zero; in the North American form.
@@ -57,7 +58,8 @@ _PHONES = [
 # By kind, in the order in which they are tried.
 PATTERNS = {
     "email": rf"(?<!{_SIGN}){_SIGN}++@(?:[\p{{L}}\p{{M}}\p{{N}}-]++\.)*[\p{{L}}\p{{M}}\p{{N}}-]++{_TOP}",
-    "key": rf"{_BEGIN}(?:(?s:.{{0,30000}}?){_END}|(?:\s{{1,4}}[A-Za-z0-9+/=]{{16,}}){{1,500}}+)",
+    # To the mark that comes next, whatever the length; or plain lines without an end.
+    "key": rf"{_BEGIN}(?:(?>[\s\S]*?(?={_MARK})){_END}|(?:\s{{1,4}}[A-Za-z0-9+/=]{{16,}}){{1,500}}+)",
     "jwt": r"(?<![\w-])eyJ[\w-]{5,}\.[\w-]{5,}\.[\w-]*",
     "token": rf"(?<![\w-])(?:{_TOKEN})[\w.-]*\w{{12,}}",
     "secret": r"(?<![A-Za-z])(?i:password|passwd|pwd|token|api[_-]?key|secret)[\"']?\s{0,3}[=:]\s{0,3}[\"']?[\w/+.~-]{8,}"
@@ -258,15 +260,28 @@ def dictionary(parts: DataFrame, key: str = KEY, name: str = "surrogates") -> Da
         waiting = saved(waiting.join(won, ["kind", "core"], "left_anti").select("kind", "core"), f"{name}_{attempt}_left")
         if waiting.isEmpty():
             return taken
-    raise ValueError(f"no distinct surrogate found in {ROUNDS} rounds; lengthen the values' format")
+    # What is left has a format with too few others: its last candidate and a number that no value has.
+    turn = F.row_number().over(Window.partitionBy("kind", "surrogate").orderBy("core"))
+    return taken.unionByName(
+        tried.join(waiting, ["kind", "core"], "left_semi").select("kind", "core", F.concat("surrogate", F.lit("-"), (turn + numbered(real, taken)).cast("string")).alias("surrogate"))
+    )
+
+
+def numbered(real: DataFrame, taken: DataFrame) -> Column:
+    """The greatest number that ends a real or a taken value behind a hyphen, or 0: numbers above it are free."""
+    ends = real.select("core").unionByName(taken.select(F.col("surrogate").alias("core")))
+    last = F.regexp_extract("core", r"-(\d{1,17})$", 1).try_cast("long")
+    return F.lit(ends.agg(F.coalesce(F.max(last), F.lit(0))).first()[0])
 
 
 def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """``docs`` with surrogates in ``text``, and ``n_entities``, how many were put in.
+    """``docs`` with surrogates in ``text``, and a last column ``n_entities``, how many were put in.
 
-    All other columns stay as they are, but n_chars, if there, which is the new text's length. A null text stays null,
+    All other columns stay as they are, but n_chars, if there, which is the new text's length. If ``docs`` has a column
+    n_entities, it stays and the new one has a longer name. A null text stays null,
     an empty one empty, equal rows stay equal. An empty table gives an empty result.
     """
+    count = fresh(docs, "n_entities")
     may = F.coalesce(F.col("text").rlike(_MAY), F.lit(False))
     print_, puts, many, again, gaps = (fresh(docs, c) for c in ("_print", "_puts", "_many", "_again", "_gaps"))
     # Of equal texts one is searched: results depend on the text alone.
@@ -308,10 +323,10 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
         .join(placed, print_, "left")
         .withColumn(gaps, F.when(F.col(many) > 0, between))
         .withColumn("text", F.when(F.col(many) > 0, merged).otherwise(F.col("text")))
-        .withColumn("n_entities", F.coalesce(F.col(many) + F.when(F.size(again) > 0, recurs).otherwise(0), F.lit(0)).cast("long"))
+        .withColumn(count, F.coalesce(F.col(many) + F.when(F.size(again) > 0, recurs).otherwise(0), F.lit(0)).cast("long"))
         .drop(print_, puts, many, again, gaps)
     )
-    out = changed.unionByName(docs.filter(~may).withColumn("n_entities", F.lit(0).cast("long")))
+    out = changed.unionByName(docs.filter(~may).withColumn(count, F.lit(0).cast("long")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_entities") > 0, F.char_length("text")).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.col(count) > 0, F.char_length("text")).otherwise(F.col("n_chars")))
     return out
