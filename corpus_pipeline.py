@@ -26,7 +26,7 @@ def different(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with surrogates for personal data and secrets."""
-    return surrogates.replace(docs).drop("n_entities")
+    return surrogates.replace(docs).select(docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
