@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import deque
+from collections import Counter, deque
 
 from pyspark.sql import DataFrame
 
@@ -18,10 +18,12 @@ from .shared import arrow_batch
 
 # The elements of HTML by their part in a page.
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = set("script style title textarea noscript template iframe svg math select button object audio video canvas head".split())
+_RAW = set("script style title textarea noscript template iframe svg select button object audio video canvas head annotation annotation-xml".split())
 _INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark output q rp rt ruby s samp small span strike "
-    "strong sub sup time tt u var nobr".split()
+    "strong sub sup time tt u var nobr "
+    "math semantics mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom msub msup msubsup munder mover "
+    "munderover mmultiscripts mtable mtr mtd".split()
 )
 _CLOSED_BY_BLOCK = set("p".split())
 _SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -33,13 +35,14 @@ _HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|style|aria-hidden|itemprop|aria-label)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_HREF = re.compile(r"(?:^|\s)href\s*=", re.I)
 # Words of class, id and role, after splitting at case changes, hyphens and underscores: those that tell in any name, ...
 _BOILER_WORDS = set(
     "nav navbar navigation navi menu menubar breadcrumb breadcrumbs header masthead banner topbar toolbar footer bottombar colophon "
     "sidebar aside complementary ad ads adv advert adverts advertisement advertising advertorial sponsored promo "
     "promotion promoted cookie cookies consent gdpr popup modal overlay sharing comment "
     "comments commentlist reply replies respond disqus related recommended recommendations trending "
-    "newsletter subscribe subscription signup login contentinfo copyright disclaimer pagination pager "
+    "thread threads newsletter subscribe subscription signup login contentinfo copyright disclaimer pagination pager "
     "tagcloud byline skip contactform paywall".split()
 )
 # ... those that tell only if the whole name is of such words, ...
@@ -48,7 +51,7 @@ _WEAK_WORDS = set(
     "legal tags hidden feedback rating ratings reviews".split()
 )
 # ... and those of lists whose items may be articles.
-_LIST_WORDS = set("comment comments commentlist reply replies respond disqus related recommended recommendations trending".split())
+_LIST_WORDS = set("comment comments commentlist thread threads reply replies respond disqus related recommended recommendations trending".split())
 _HEADER_WORDS = set("header masthead banner byline".split())
 _WITHOUT = set("has no not non with without".split())  # what follows in a name is of another element
 _CONTENT_WORDS = set("article content main post entry story body text articlebody maincontent postcontent entrycontent".split())
@@ -71,7 +74,7 @@ def _words(value: str) -> list[str]:
 class _Node:
     """An element, with what tags and names from here up say of it."""
 
-    __slots__ = ("tag", "parent", "depth", "hidden", "main", "placed", "named", "listed", "weak", "fields")
+    __slots__ = ("tag", "parent", "depth", "hidden", "main", "placed", "named", "listed", "weak", "fields", "in_header")
 
     def __init__(self, tag: str, parent: _Node | None, attributes: str):
         self.tag, self.parent = tag, parent
@@ -79,6 +82,7 @@ class _Node:
         self.hidden, self.main, self.placed, self.named, self.listed, self.weak, self.fields = (
             (parent.hidden, parent.main, parent.placed, parent.named, parent.listed, parent.weak, parent.fields) if parent else (False,) * 7
         )
+        self.in_header = tag == "header" or (parent is not None and parent.in_header)
         names: list[list[str]] = []
         if attributes:
             for m in _ATTR.finditer(attributes):
@@ -117,20 +121,41 @@ class _Block:
 
 
 def blocks(page: str) -> list[_Block]:
-    """The blocks of a page in order, with the element that holds each."""
+    """The blocks of a page in order, with the element that holds each.
+
+    A link lasts until it is closed, over blocks inside it as well, but not beyond the element that holds it. If no link is
+    closed any more in the page, it ends with its block. Every element is entered and left once, and an end tag that
+    nothing open fits is passed over, so the work grows with the page however deep it is nested.
+    """
     root = _Node("html", None, "")
     node, out = root, []
+    link: _Node | None = None  # the element that holds the open link
+    last_end = page.lower().rfind("</a")
+    open_tags: Counter[str] = Counter()
     text: list[str] = []
-    links = linked = at = 0
+    linked = at = 0
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, link
         if text:
             words = " ".join(entities.unescape("".join(text)).split())
             if words:
                 out.append(_Block(node, words, linked))
             text.clear()
         linked = 0
+        if at > last_end:
+            link = None
+
+    def leave(upto: _Node) -> None:
+        """Close the open elements down from (and with) one of them."""
+        nonlocal node, link
+        while True:
+            closed, node = node, node.parent
+            open_tags[closed.tag] -= 1
+            if closed is link:
+                link = None
+            if closed is upto:
+                return
 
     size = len(page)
     while at < size:
@@ -138,7 +163,7 @@ def blocks(page: str) -> list[_Block]:
         begin = m.start() if m else size
         if begin > at:
             text.append(page[at:begin])
-            if links:
+            if link is not None:
                 linked += begin - at
         if not m:
             break
@@ -152,7 +177,7 @@ def blocks(page: str) -> list[_Block]:
         attributes = m[3] or m[6] or ""
         if name in _INLINE:
             if name == "a":
-                links = 0 if closes else 1
+                link = None if closes or not _HREF.search(attributes) else node
             continue
         if name == "br" or name in _VOID:
             text.append(" ")
@@ -160,7 +185,7 @@ def blocks(page: str) -> list[_Block]:
                 flush()
             continue
         if name in _RAW:
-            if not closes and not (attributes.endswith("/") and name in ("svg", "math")):
+            if not closes and not (attributes.endswith("/") and name == "svg"):
                 if name == "head":
                     continue
                 end = re.compile(rf"</{name}[\s/>]", re.I).search(page, at)
@@ -169,26 +194,26 @@ def blocks(page: str) -> list[_Block]:
                     text.append(" ")
             continue
         flush()
-        links = 0
         if closes:
-            up = node
-            while up is not None and up.tag != name:
-                up = up.parent
-            if up is not None and up.parent is not None:
-                node = up.parent
+            if open_tags[name]:
+                up = node
+                while up.tag != name:
+                    up = up.parent
+                leave(up)
             continue
         if node.tag in _CLOSED_BY_BLOCK and node.parent:
-            node = node.parent
+            leave(node)
         if name in _SIBLINGS:
             up = node
             while up.parent is not None and up.tag not in _PLACES and up.tag not in _SIBLINGS[name]:
                 up = up.parent
             if up.tag in _SIBLINGS[name] and up.parent is not None:
-                node = up.parent
+                leave(up)
         elif name in _HEADINGS and node.tag in _HEADINGS and node.parent:
-            node = node.parent
+            leave(node)
         if not attributes.endswith("/"):
             node = _Node(name, node, attributes)
+            open_tags[name] += 1
     flush()
     return out
 
@@ -216,11 +241,6 @@ def costs(block: _Block, share: float) -> tuple[float, float]:
     told = node.tag in _HEADINGS or re.search(r"[.!?](?:\s|$)", block.text)
     score += 2.0 if node.tag in _HEADINGS else 0.5 if node.tag in ("p", "blockquote", "pre") else 0.0
     score -= 3.0 if re.match(r"(?:©|\(c\)|copyright\b)", block.text, re.I) else 0.0
-    up: _Node | None = node
-    in_header = False
-    while up is not None:
-        in_header |= up.tag == "header"
-        up = up.parent
     score += _INSIDE * share if node.main else -_OUTSIDE * share
     # A long text without links is little suspect by a name above it.
     short = 1.0 - 0.75 * min(words, 60) / 60 * (1.0 - links)
@@ -232,7 +252,7 @@ def costs(block: _Block, share: float) -> tuple[float, float]:
         score -= _WEAK * short
     elif node.fields and not told:
         score -= _WORD * short
-    elif in_header and node.tag not in _HEADINGS:
+    elif node.in_header and node.tag not in _HEADINGS:
         score -= _WORD * short
     return max(score, 0.0), max(-score, 0.0)
 
