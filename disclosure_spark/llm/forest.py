@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import arrow_batch, drop_shuffles, fresh, pair_hash, saved, shingle_sets, signed
+from .components import components
+from .shared import arrow_batch, discard, drop_shuffles, fresh, pair_hash, saved, shingle_sets, signed, single
 
 THRESHOLD = 0.8
 WORDS = 5
@@ -28,7 +29,6 @@ LONGEST = 8  # values of a tree's signature
 RECALL = 0.9995  # of pairs at the threshold
 BLOCK = 256  # documents of a block under one prefix
 CHUNK = 1 << 21  # bytes of text shingled at a time
-ROUNDS = 60  # of label propagation at most
 
 PRINTS = "doc_id long, print long, class long, n long, keys array<long>"
 
@@ -258,24 +258,6 @@ def links(classes: DataFrame, texts: DataFrame, threshold: float, block: int) ->
     return spread(full).mapInArrow(verify, LINKS)
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """class, label: the least class that each class of the edges (class, parent) is connected with."""
-    both = edges.filter("class <> parent").select(F.col("class").alias("a"), F.col("parent").alias("b")).distinct()
-    both = saved(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))), "forest_edges")
-    labels = saved(both.groupBy("a").agg(F.least("a", F.min("b")).alias("label")).withColumnRenamed("a", "class"), "forest_labels")
-    for _ in range(ROUNDS):
-        near = both.join(labels.withColumnRenamed("class", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
-        moved = labels.join(near.withColumnRenamed("a", "class"), "class").withColumn("new", F.least("label", "near"))
-        # The label's own label is as good, and halves the way.
-        jump = labels.select(F.col("class").alias("new"), F.col("label").alias("further"))
-        moved = saved(moved.join(jump, "new", "left").select("class", "label", F.least("new", "further").alias("to")), "forest_labels")
-        done = moved.filter("label <> to").isEmpty()
-        labels = moved.select("class", F.col("to").alias("label"))
-        if done:
-            return labels
-    raise ValueError(f"labels still move after {ROUNDS} rounds")
-
-
 def groups(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
     """doc_id, print (hash of the text), class_id, n_links and keeps of every row.
 
@@ -291,7 +273,7 @@ def groups(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, re
     classes = saved(classes, "forest_classes")
     found = saved(links(classes, keyed.select(rep, "text"), threshold, block), "forest_links")
     drop_shuffles(docs.sparkSession)
-    labels = components(found)
+    labels = saved(components(found, "forest_components"), "forest_labels")
     linked = found.groupBy("class").agg(F.sum("links").alias("links"))
     of_class = classes.drop("keys").join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
     first = of_class.groupBy("label").agg(F.min("least").alias("class_id"), F.min("rep").alias("kept"))
@@ -322,11 +304,13 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, reca
 
 
 def survivors(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group, that of the least doc_id; of equal rows one stays.
+    """``docs`` with one document of each group, that of the least doc_id.
 
-    Documents in no group stay, also those without words.
+    Of rows equal in doc_id and text the one whose columns are least, as JSON, stays, in every run the
+    same. Documents in no group stay, also those without words.
     """
     key = fresh(docs, "_rep")
-    kept = groups(docs).filter("keeps").select(F.struct("doc_id", "print").alias(key)).distinct()
+    kept = groups(docs).filter("keeps").groupBy(F.struct("doc_id", "print").alias(key)).agg(F.count("*").alias("many"))
+    kept = saved(kept, "forest_kept")
     own = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("print"))
-    return docs.withColumn(key, own).join(kept, key, "left_semi").dropDuplicates([key]).select(docs.columns)
+    return single(docs.withColumn(key, own), kept, key).select(docs.columns)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import fresh, saved
+from .shared import fresh, saved, single
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -171,6 +171,9 @@ def with_shares(docs: DataFrame, seed: str = SEED, block: int = BLOCK, shard_wor
 def mix(docs: DataFrame, seed: str = SEED, block: int = BLOCK, shard_words: int = SHARD_WORDS) -> DataFrame:
     """Words that the mix takes of each document: doc_id, size, source_size, target, taken.
 
+    A source has a shard for every ``SHARD_WORDS`` of its words, ``MOST_SHARDS`` at most: beyond 67 million words its shards
+    grow, each of which is ordered by one task, which spills; at 100 times that a shard has 1.6 million words.
+
     A null text has no words, a null source comes last, documents without words
     give none. Rows that are equal are taken like any others; their shares are
     the same in each run as a bag. An empty table gives an empty result.
@@ -182,14 +185,15 @@ def mixed(docs: DataFrame, seed: str = SEED) -> DataFrame:
     """``docs`` as the mix has them: each row none, one or two times.
 
     A document comes as often as its share of words says; a fraction is rounded by the
-    document's salt. Documents without words stay as they are.
+    document's salt. Documents without words stay as they are. Of rows equal in doc_id and text the one whose columns
+    are least, as JSON, comes for all of them.
     """
     part = F.col("taken") / F.col("size") + F.pmod("salt", F.lit(1 << 20)) / float(1 << 20)
     times = F.when(F.col("size") == 0, 1).otherwise(F.floor(part)).cast("int")
     # Rows of equal id and text are one here, with the times of all of them.
     key, many = fresh(docs, "_key"), fresh(docs, "_times")
     shares = with_shares(docs, seed).select(F.struct("doc_id", "salt").alias(key), times.alias("times"))
-    shares = shares.groupBy(key).agg(F.sum("times").cast("int").alias(many)).filter(F.col(many) > 0)
+    shares = shares.groupBy(key).agg(F.sum("times").cast("int").alias(many), F.count("*").alias("many")).filter(F.col(many) > 0)
     own = F.struct(F.col("doc_id"), _salt(seed).alias("salt"))
-    once = docs.withColumn(key, own).join(shares, key).dropDuplicates([key])
+    once = single(docs.withColumn(key, own), saved(shares, "mix_shares"), key)
     return once.withColumn(key, F.explode(F.sequence(F.lit(1), F.col(many)))).select(docs.columns)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from disclosure_spark.workspace import run_path
 
@@ -40,6 +41,22 @@ def discard(df: DataFrame) -> None:
         place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def single(docs: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of ``docs`` whose ``key`` is in ``keys``, one of each: that whose columns are least as JSON.
+
+    ``keys`` has each key once, with ``many``, its rows in ``docs``, and columns that are added to the result.
+    Rows without an equal one are only joined; the others are reduced before they shuffle.
+    """
+    alone = docs.join(keys.filter("many = 1").drop("many"), key)
+    several = keys.filter("many > 1").drop("many")
+    if several.isEmpty():
+        return alone
+    row = F.struct(*docs.columns)
+    equal = docs.join(several.select(key), key, "left_semi").withColumn("_row", row)
+    chosen = equal.groupBy(key).agg(F.min_by("_row", F.to_json("_row")).alias("_row")).join(several, key)
+    return alone.unionByName(chosen.select(*[key if c == key else F.col("_row").getField(c).alias(c) if c in docs.columns else c for c in alone.columns]))
+
+
 def drop_shuffles(spark: SparkSession) -> None:
     """Let Spark's cleaner remove the shuffle files of finished jobs."""
     spark.sparkContext._jvm.System.gc()
