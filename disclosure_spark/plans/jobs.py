@@ -42,7 +42,7 @@ from ..operators.store import (
     with_partition_column,
 )
 from ..schemas import CORRUPT_COLUMN, FLAT_NAMES, INDEX_SCHEMA
-from ..sources.documents import read_index_documents
+from ..sources.documents import passed_over, read_index_documents
 from ..sources.listing import read_landed, read_listing
 from ..sources.tables import read_index_files
 from ..workspace import delete_path, folder_bytes, path_exists, run_path
@@ -127,6 +127,7 @@ class TransformResult:
     null_counts: dict[str, int]
     stage: str | None  # None once it is deleted
     dates: list[str]  # of the documents read; what a load of this run takes
+    passed_over: int = 0  # files like documents that were not read, as their names are hidden ones
 
 
 def transform(
@@ -189,6 +190,7 @@ def transform(
         null_counts={c: counted[c] for c in FLAT_NAMES},
         stage=stage,
         dates=sorted(rows_by_date),
+        passed_over=len(passed_over(spark, raw, pattern)),
     )
 
 

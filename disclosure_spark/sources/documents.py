@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from fnmatch import fnmatch
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import CORRUPT_COLUMN, INDEX_SCHEMA
+from ..workspace import hidden_files
 
 
 def read_index_documents(spark: SparkSession, path: str | list[str], pattern: str = "*.json") -> DataFrame:
@@ -30,3 +33,9 @@ def read_index_documents(spark: SparkSession, path: str | list[str], pattern: st
         .json(path)
         .select(F.col("_metadata.file_name").alias("source_file"), "*")
     )
+
+
+def passed_over(spark: SparkSession, path: str | list[str], pattern: str = "*.json") -> list[str]:
+    """Files that look like documents but have a hidden name, so that :func:`read_index_documents` does not see them."""
+    paths = [path] if isinstance(path, str) else path
+    return [f for p in paths for f in hidden_files(spark, p) if fnmatch(f.rpartition("/")[2], pattern) and "/_ledger/" not in f]

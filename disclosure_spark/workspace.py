@@ -56,6 +56,25 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return system.getContentSummary(place).getLength() if system.exists(place) else 0
 
 
+def hidden_files(spark: SparkSession, path: str, depth: int = 4) -> list[str]:
+    """Files below ``path`` that Spark's readers pass over, as a part of their path within ``depth`` levels starts with ``_`` or ``.``.
+
+    Only such names are listed, level by level, whatever else is there.
+    """
+    place, system = _place(spark, path)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    found = []
+    for level in range(depth + 1):
+        for status in system.globStatus(hadoop.Path(place, "*/" * level + "{_,.}*")) or []:
+            if status.isFile():
+                found.append(status.getPath().toString())
+                continue
+            files = system.listFiles(status.getPath(), True)
+            while files.hasNext():
+                found.append(files.next().getPath().toString())
+    return sorted(set(found))
+
+
 # Schemes of one store that Hadoop and Arrow call differently.
 ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs"}
 

@@ -163,6 +163,19 @@ def test_the_only_date_of_a_batch_is_emptied(spark, zone, tmp_path):
         jobs.load(spark, zone["processed"], zone["table"], dates=["2020-01-01"])
 
 
+def test_files_with_hidden_names_are_counted(spark, zone, tmp_path):
+    """Names that others have landed: they are not read, and the run says how many."""
+    good = land(tmp_path, JUNE, "a", STRUCTURE)
+    for name in (f"_{good.name}", f".{good.name}", "_x/inner_index.json", "_SUCCESS", "_part.json.part"):
+        other = good.parent / name
+        other.parent.mkdir(exist_ok=True)
+        other.write_text(good.read_text())
+    done = jobs.transform(spark, zone["raw"], zone["processed"])
+    assert (done.documents, done.passed_over) == (1, 3)
+    good.parent.joinpath("_x", "inner_index.json").unlink()
+    assert jobs.transform(spark, [str(good.parent)], zone["processed"]).passed_over == 2
+
+
 def test_a_second_date_that_fails_leaves_all_dates(spark, zone, tmp_path, monkeypatch):
     versions.create_versioned(spark, "second_fails", str(tmp_path / "versions"))
     for date in (JUNE, JULY):
