@@ -188,7 +188,7 @@ LINKS = "class long, links long, parent long"
 
 
 def links(classes: DataFrame, texts: DataFrame, threshold: float, block: int) -> DataFrame:
-    """For each class with links in a cell: how many documents it links to there, and a class of its tree there.
+    """For each class with links in a cell: how many documents it links to there, and a class of its tree there; a written table.
 
     ``classes``: class, rep (doc_id and print of one document), copies, keys. ``texts``: rep, text.
     """
@@ -255,7 +255,9 @@ def links(classes: DataFrame, texts: DataFrame, threshold: float, block: int) ->
                     ids = [r[5] for r in cell]
                     yield arrow_batch(LINKS, [[ids[k] for k in has], count[has].astype(np.int64), [ids[top(int(k))] for k in has]])
 
-    return spread(full).mapInArrow(verify, LINKS)
+    found = saved(spread(full).mapInArrow(verify, LINKS), "forest_links")
+    discard(met)
+    return found
 
 
 def groups(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
@@ -271,7 +273,7 @@ def groups(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, re
         F.min(rep).alias("rep"), F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.max("keys").alias("keys")
     )
     classes = saved(classes, "forest_classes")
-    found = saved(links(classes, keyed.select(rep, "text"), threshold, block), "forest_links")
+    found = links(classes, keyed.select(rep, "text"), threshold, block)
     drop_shuffles(docs.sparkSession)
     labels = saved(components(found, "forest_components"), "forest_labels")
     linked = found.groupBy("class").agg(F.sum("links").alias("links"))
@@ -279,9 +281,10 @@ def groups(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, re
     first = of_class.groupBy("label").agg(F.min("least").alias("class_id"), F.min("rep").alias("kept"))
     n_links = (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("n_links")
     of_class = of_class.join(first, "label").join(linked, "class", "left").select("class", "class_id", "kept", n_links)
-    joined = rows.select("doc_id", "print", F.when(F.col("n") > 0, F.col("class")).alias("class")).join(
-        saved(of_class, "forest_result"), "class", "left"
-    )
+    result = saved(of_class, "forest_result")
+    for old in (classes, found, labels):
+        discard(old)
+    joined = rows.select("doc_id", "print", F.when(F.col("n") > 0, F.col("class")).alias("class")).join(result, "class", "left")
     alone = F.col("class").isNull()
     return joined.select(
         "doc_id",
