@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from disclosure_spark.llm import forest, mixing, pieces, quality, surrogates
-from disclosure_spark.llm.shared import drop_shuffles, read_table, saved
+from disclosure_spark.llm.shared import discard, drop_shuffles, read_table, saved
 
 ORACLE_SQL = None
 
@@ -49,11 +49,11 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each stage's result is written and read again."""
+    """All stages over documents; each stage's result is written, read again, and deleted when the next one is there."""
     docs = read_table(spark, sf_dir, "documents")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = saved(docs, f"stage_{i}")
-            drop_shuffles(spark)
-    return docs
+    for i, (_, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, saved(stage(spark, docs, sf_dir), f"stage_{i}")
+        if i:
+            discard(before)
+        drop_shuffles(spark)
+    return STAGES[-1][1](spark, docs, sf_dir)
