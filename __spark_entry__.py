@@ -12,7 +12,8 @@ import uuid
 from collections.abc import Callable
 from pathlib import Path
 
-sys.path.insert(0, str(Path(__file__).resolve().parent))
+HERE = Path(__file__).resolve().parent
+sys.path.insert(0, str(HERE))
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,9 @@ from disclosure_spark.workspace import run_path
 
 try:
     from disclosure_spark.llm import queries as llm
-except ImportError:  # the package and its pipeline may be left out
+except ImportError:  # the package and its pipeline may be left out, but if they are there an error is one
+    if (HERE / "disclosure_spark/llm/queries.py").exists() and (HERE / "corpus_pipeline.py").exists():
+        raise
     llm = None
 
 Query = Callable[[SparkSession, str], DataFrame]
