@@ -62,7 +62,8 @@ def write_csv_export(files: DataFrame, path: str, max_rows: int = 1_000_000) ->
     """The table as CSV files with a header, such that :func:`read_own_export` gives the same rows.
 
     Texts with commas, quotes or line breaks are quoted and a quote is doubled; a null is nothing between commas and an empty text is two quotes. Files have
-    ``max_rows`` rows at most, as one with line breaks inside quotes cannot be split by its readers.
+    ``max_rows`` rows at most, as one with line breaks inside quotes cannot be split by its readers. They are gzip files: as plain
+    text the table is some 20 times larger than it is stored.
     """
     text = lambda name: F.col(name).cast("string")
     refused = F.raise_error(F.lit("a text is the sign by which readers know an empty one"))
@@ -75,6 +76,8 @@ def write_csv_export(files: DataFrame, path: str, max_rows: int = 1_000_000) ->
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .option("maxRecordsPerFile", max_rows)
+        .option("compression", "gzip")
+        .option("zlib.compress.level", "BEST_SPEED")
         .csv(path)
     )
 
