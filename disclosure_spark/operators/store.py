@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+import threading
+from collections import Counter
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -18,6 +21,39 @@ def with_partition_column(df: DataFrame) -> DataFrame:
     return df.withColumn(PARTITION_COLUMN, F.col("reporting_date"))
 
 
+# Files that a task of a partitioned write keeps open. The scans of this library pack at most 32 files into a task (128 MB by
+# an open cost of 4 MB each), so a task that reads files by date seldom has more dates.
+OPEN_FILES = 32
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+_writing: Counter = Counter()
+_writing_lock = threading.Lock()
+
+
+@contextmanager
+def open_writers(spark: SparkSession) -> Iterator[None]:
+    """While this holds, partitioned writes of the session keep the files of up to ``OPEN_FILES`` partitions open in a task.
+
+    Otherwise Spark sorts all rows of a task by partition before it writes them, which spills. Rows of further partitions
+    are still sorted. A value that the session has is left, and else the setting is gone after the last of the writes.
+    """
+    with _writing_lock:
+        if _writing[id(spark)] or spark.conf.get(_WRITERS, None) is None:
+            _writing[id(spark)] += 1
+            spark.conf.set(_WRITERS, str(OPEN_FILES))
+            own = True
+        else:
+            own = False
+    try:
+        yield
+    finally:
+        with _writing_lock:
+            if own:
+                _writing[id(spark)] -= 1
+                if not _writing[id(spark)]:
+                    del _writing[id(spark)]
+                    spark.conf.unset(_WRITERS)
+
+
 def replace_partitions(df: DataFrame, path: str) -> None:
     """Write ``df``, replacing the dates it holds and keeping all others.
 
@@ -25,12 +61,13 @@ def replace_partitions(df: DataFrame, path: str) -> None:
     rows. The swap of several dates is not one transaction, though; plain
     Parquet offers none.
     """
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION_COLUMN)
-        .parquet(path)
-    )
+    with open_writers(df.sparkSession):
+        (
+            df.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(PARTITION_COLUMN)
+            .parquet(path)
+        )
 
 
 def packing_session(spark: SparkSession, target_bytes: int) -> SparkSession:
@@ -113,7 +150,8 @@ def split_refused(df: DataFrame, stage: str) -> tuple[DataFrame, DataFrame, int]
     seen = Observation("refused")
     judged = df.withColumn("reason", refusals(df)).withColumn("refused", F.col("reason").isNotNull())
     judged = judged.observe(seen, F.count_if("refused").alias("refused"))
-    judged.write.partitionBy("refused").parquet(stage)
+    with open_writers(df.sparkSession):
+        judged.write.partitionBy("refused").parquet(stage)
     stored = df.sparkSession.read.schema(judged.schema).parquet(stage)
     taken = stored.filter(~F.col("refused")).drop("refused", "reason")
     return taken, stored.filter("refused").drop("refused"), seen.get["refused"]
@@ -184,7 +222,8 @@ def replace_table_partitions(df: DataFrame, table: str) -> None:
     """Like :func:`replace_partitions`, for a table made by :func:`create_table`, by whose own option other dates stay."""
     check_table(df.sparkSession, table)
     names = [c.name for c in TABLE_COLUMNS] + [PARTITION_COLUMN]
-    df.select(*names).write.mode("overwrite").insertInto(quoted(table))
+    with open_writers(df.sparkSession):
+        df.select(*names).write.mode("overwrite").insertInto(quoted(table))
 
 
 def record_dates(spark: SparkSession, path: str, rows: Mapping[str, int], run: str) -> None:

@@ -32,6 +32,7 @@ from ..operators.store import (
     drop_table_dates,
     emptied_dates,
     empty_rows,
+    open_writers,
     partition_dates,
     quoted,
     record_dates,
@@ -216,7 +217,8 @@ def stage_documents(documents: DataFrame, stage: str, by_date: bool = False) ->
     take less of the copy than a row group of the usual size. ``by_date`` puts each date into a folder of its own.
     """
     writer = documents.write.mode("overwrite").option("parquet.block.size", STAGE_ROW_GROUP_BYTES)
-    (writer.partitionBy(STAGE_DATE) if by_date else writer).parquet(stage)
+    with open_writers(documents.sparkSession):
+        (writer.partitionBy(STAGE_DATE) if by_date else writer).parquet(stage)
 
 
 def staged_documents(spark: SparkSession, stage: str, dates: Sequence[str] | None = None) -> DataFrame:
@@ -277,10 +279,14 @@ def write_flat(
     processed: str,
     processed_at: str | datetime,
     partitions: int | None = None,
+    clustered: bool = False,
 ) -> dict[str, int]:
-    """Flatten into ``processed``, replacing the dates found; gives row and null counts."""
+    """Flatten into ``processed``, replacing the dates found; gives row and null counts.
+
+    ``clustered``: the documents lie by date already, so they are flattened where they are, without a shuffle.
+    """
     written = Observation("rows")
-    rows = with_partition_column(flatten_by_date(documents, processed_at, partitions))
+    rows = with_partition_column(flatten(documents, processed_at) if clustered else flatten_by_date(documents, processed_at, partitions))
     replace_partitions(observe_rows(rows, written), processed)
     return written.get
 
