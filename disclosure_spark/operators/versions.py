@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import PARTITION_COLUMN, TABLE_COLUMNS
 from .quality import CountMismatchError, EmptyResultError
-from .store import literal, packing_session, quoted
+from .store import literal, open_writers, packing_session, quoted
 
 RUNS = "_runs"
 PART = 3000  # signs of a table property, as catalogs bound their length
@@ -70,7 +70,8 @@ def _show(spark: SparkSession, table: str, runs: dict[str, str]) -> None:
 def write_run(rows: DataFrame, table: str) -> str:
     """Add the rows as a run that no reader sees yet; its name."""
     run = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-    rows.select(*NAMES, F.lit(run).alias("run")).write.mode("append").insertInto(quoted(runs_table(table)))
+    with open_writers(rows.sparkSession):
+        rows.select(*NAMES, F.lit(run).alias("run")).write.mode("append").insertInto(quoted(runs_table(table)))
     return run
 
 
