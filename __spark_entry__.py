@@ -106,7 +106,8 @@ def _fresh_name(name: str) -> str:
 def _flatten_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From JSON files: parsed once, staged by date, flattened."""
     stage = run_path(spark, "flatten_files")
-    documents = read_index_documents(spark, fixtures.landed_json(spark, sf_dir))
+    documents = read_index_documents(spark, fixtures.landed_json(spark, sf_dir), "*.json.gz")
+    documents = documents.withColumn("source_file", F.regexp_replace("source_file", "[.]gz$", ""))  # the document's name
     jobs.stage_documents(documents.withColumn(jobs.STAGE_DATE, F.substring("source_file", 1, 10)), stage, by_date=True)
     dates, _ = jobs.document_dates(jobs.staged_documents(spark, stage))
     rows = jobs.flat_by_date(spark, stage, fixtures.PROCESSED_AT, {d: most for d, (_, most) in dates.items()})
