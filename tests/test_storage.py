@@ -3,6 +3,7 @@
 import contextlib
 import io
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -342,3 +343,69 @@ def test_json_files_are_written_whole(spark, sf_dir):
     root = fixtures.landed_listing(spark, sf_dir)
     rows = registered.queries()["listing_file"](spark, sf_dir).collect()
     assert len(rows) == fixtures.blob_listing(spark, sf_dir).count() and root
+
+
+# ---- writes without a sort, inputs that are made by date
+def test_dates_in_turn_are_written_without_a_sort(spark, sf_dir, tmp_path):
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    rows = fixtures.index_files(spark, sf_dir).limit(90).coalesce(1)
+    dates = F.element_at(F.array(*[F.lit(f"2026-0{i}-01") for i in range(1, 4)]), (F.pmod(F.monotonically_increasing_id(), F.lit(3)) + 1).cast("int"))
+    rows.withColumn("partition_date", dates.cast("date")).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    spark.sql(f"CREATE TABLE in_turn (x INT, d INT) USING parquet PARTITIONED BY (d) LOCATION '{tmp_path / 'in_turn'}'")
+    insert = "EXPLAIN INSERT OVERWRITE in_turn SELECT id, id % 3 FROM range(9)"
+    with store.open_writers(spark):
+        with store.open_writers(spark):
+            pass
+        assert "Sort" not in spark.sql(insert).first()[0]
+    assert "Sort" in spark.sql(insert).first()[0] and spark.conf.get(setting, None) is None, "the setting is gone again"
+    spark.conf.set(setting, "3")
+    with store.open_writers(spark):
+        assert spark.conf.get(setting) == "3"
+    assert spark.conf.get(setting) == "3"
+    spark.conf.unset(setting)
+    store.replace_partitions(rows, str(tmp_path / "table"))
+    back = spark.read.parquet(str(tmp_path / "table"))
+    assert spark_bag(back.select(rows.columns)) == spark_bag(rows)
+    assert len(list((tmp_path / "table").glob("*/*.parquet"))) == 3
+    with pytest.raises(Exception, match="must be a date"):
+        store.replace_partitions(store.to_table_rows(rows.withColumn("last_updated_on", F.lit("June"))), str(tmp_path / "table"))
+    assert spark.conf.get(setting, None) is None and spark.read.parquet(str(tmp_path / "table")).count() == 90
+
+
+def test_more_dates_than_open_files(spark, sf_dir, tmp_path):
+    rows = fixtures.index_files(spark, sf_dir).coalesce(1)
+    assert rows.select("partition_date").distinct().count() > store.OPEN_FILES
+    store.replace_partitions(rows.orderBy("plan_id").coalesce(1), str(tmp_path / "table"))
+    back = spark.read.parquet(str(tmp_path / "table"))
+    assert spark_bag(back.select(rows.columns)) == spark_bag(rows)
+
+
+def test_processed_rows_need_no_table(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(fixtures, "_key", lambda spark, sf_dir: ("alone", sf_dir))
+    monkeypatch.setattr(fixtures, "load", lambda *a, **b: pytest.fail("the table is not asked for"))
+    expected = flatten(fixtures.index_docs(spark, sf_dir), fixtures.PROCESSED_AT)
+    assert spark_bag(fixtures.processed_files(spark, sf_dir).select(expected.columns)) == spark_bag(expected)
+    files = fixtures.index_docs(spark, sf_dir).select(F.col("_metadata.file_path").alias("file"), F.substring("source_file", 1, 10).alias("date"))
+    spread = files.distinct().groupBy("date").count().agg(F.max("count")).first()[0]
+    assert spread <= 2, "a date's documents are in few files"
+
+
+def test_a_task_of_partials_writes_few_dates(spark, sf_dir, tmp_path):
+    rows = fixtures.index_files(spark, sf_dir).repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        partials.refresh(spark, rows, str(tmp_path / "partials"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = [p.parent.name for p in (tmp_path / "partials").glob("*/*.parquet")]
+    assert len(files) == len(set(files)), "one file a date"
+
+
+def test_exports_and_landed_json_are_compressed(spark, sf_dir, tmp_path):
+    write_csv_export(fixtures.index_files(spark, sf_dir).limit(20), str(tmp_path / "csv"), max_rows=7)
+    parts = [p.name for p in (tmp_path / "csv").glob("part-*")]
+    assert len(parts) >= 3 and all(p.endswith(".csv.gz") for p in parts)
+    landed = [p for p in Path(fixtures.landed_json(spark, sf_dir)).rglob("*") if p.is_file() and not p.name.startswith(".")]
+    assert landed and all(p.name.endswith("_index.json.gz") for p in landed)
+    assert len({p.name for p in landed}) == len(landed)
