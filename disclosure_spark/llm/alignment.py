@@ -32,6 +32,7 @@ PART = 1 << 17  # characters of a block that are aligned at a time
 LONG = 100_000  # characters from which a text goes to the slower encoder, which has no limit to white space
 LINKS = 1 << 21  # links expanded at a time
 BIG = 1024  # links of a group from which its ids are counted instead
+BLOCKS_PER_FILE = 16  # a block's row has a megabyte or more, and a file's rows may be in memory at once
 
 DOC = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
 BLOCKS = f"block long, docs array<struct<{DOC}, idx array<int>, mult array<long>>>, pairs array<long>, df array<long>"
@@ -241,7 +242,7 @@ def align(docs: DataFrame, model: tuple[bytes, bytes], chunk: int = CHUNK) -> Da
     with U+2581), have no tokens: zeros and an empty digest. A pair's count is how many rows of the table link
     it, repeated rows each. An empty table gives an empty result. Other columns are not read.
     """
-    stored = saved(blocks(docs, model, chunk), "alignment_blocks")
+    stored = saved(blocks(docs, model, chunk), "alignment_blocks", max_rows=BLOCKS_PER_FILE)
     listed = stored.select("block", F.posexplode(F.arrays_zip("pairs", "df")).alias("pos", "p"))
     counts = listed.groupBy(F.col("p.pairs").alias("pair")).agg(F.sum("p.df").alias("n"))
     counts = saved(counts.withColumn("a", F.floor(F.col("pair") / F.lit(_b_size(model)))), "alignment_counts")

@@ -16,12 +16,16 @@ def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def saved(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """``df`` written to the shared folder and read back, which cuts its lineage."""
+def saved(df: DataFrame, name: str, partition_by: str | None = None, max_rows: int | None = None) -> DataFrame:
+    """``df`` written to the shared folder and read back, which cuts its lineage.
+
+    ``max_rows`` of a file, for rows that are large: Parquet's writer holds a hundred rows before it looks at their size, and
+    its reader takes thousands at a time, but neither goes beyond a file.
+    """
     spark = df.sparkSession
     path = run_path(spark, name)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(path)
+    (writer.option("maxRecordsPerFile", max_rows) if max_rows else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

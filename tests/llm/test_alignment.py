@@ -8,8 +8,10 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from disclosure_spark.llm import alignment
+from disclosure_spark.llm.shared import saved
 
 R = random.Random(12)
 WORDS = "the quick brown fox über naïve 中文 😀 don't  it's 1234 3.14 <|endoftext|> <s> \n\n \t x=y+z; Ünïcödé ﷽ ๒๓".split(" ")
@@ -86,6 +88,18 @@ def test_align(spark, sf_dir, model, library, monkeypatch, chunk, big):
     assert alignment.align(docs.limit(0), model).collect() == []
 
 
+def test_few_blocks_a_file(spark, model, monkeypatch):
+    """However many blocks a task makes, no file of them has many, as all of a file's rows may be in memory at once."""
+    made = []
+    monkeypatch.setattr(alignment, "saved", lambda df, name, **how: made.append((name, saved(df, name, **how))) or made[-1][1])
+    texts = [f"text number {i}" for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    assert alignment.align(docs, model, chunk=1).count() == 60
+    blocks = next(df for name, df in made if name == "alignment_blocks")
+    per_file = [r["count"] for r in blocks.groupBy(F.col("_metadata.file_path")).count().collect()]
+    assert sum(per_file) == 60 and max(per_file) <= alignment.BLOCKS_PER_FILE
+
+
 def test_encoder_is_the_library(model, library):
     own = alignment.Encoders(model)
     for c in [*range(0x20, 0xD7FF, 7), *range(0x10000, 0x10FFFF, 997)]:
