@@ -47,7 +47,7 @@ def refresh(spark: SparkSession, files: DataFrame, path: str, dates: Sequence[st
         files = files.filter(F.col(PARTITION_COLUMN).isin([F.to_date(F.lit(str(d))) for d in dates]))
     # By date, as a task that has some of every date would write as many files.
     partials = date_partials(files).hint("rebalance", PARTITION_COLUMN)
-    replace_partitions(partials, path)
+    replace_partitions(partials, path, plain=["value"])
     if dates is not None:
         kept = {str(r[0]) for r in files.select(PARTITION_COLUMN).distinct().collect()}
         drop_dates(spark, path, sorted({str(d) for d in dates} - kept))

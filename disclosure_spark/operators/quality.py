@@ -135,3 +135,13 @@ def verify_counts(source: DataFrame, target: DataFrame, column: str = PARTITION_
             f"{result['wrong']} date(s) differ; first {date}: expected {expected}, loaded {loaded}"
         )
     return result["total"]
+
+
+def verify_total(spark: SparkSession, path: str, expected: int) -> int:
+    """Raise unless the files below ``path`` have so many rows, by their footers, and at least one; else the rows."""
+    if not expected:
+        raise EmptyResultError("no rows to load")
+    total = stored_counts(spark, path).agg(F.sum("rows")).first()[0]
+    if total != expected:
+        raise CountMismatchError(f"expected {expected} rows, loaded {total}")
+    return total

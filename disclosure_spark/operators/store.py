@@ -54,8 +54,39 @@ def open_writers(spark: SparkSession) -> Iterator[None]:
                     spark.conf.unset(_WRITERS)
 
 
-def replace_partitions(df: DataFrame, path: str) -> None:
-    """Write ``df``, replacing the dates it holds and keeping all others.
+@contextmanager
+def file_rows(spark: SparkSession, most: int | None) -> Iterator[None]:
+    """While this holds, files that the session writes have ``most`` rows; an insert into a table takes that from the session only."""
+    key = "spark.sql.files.maxRecordsPerFile"
+    before = spark.conf.get(key)
+    if most is not None:
+        spark.conf.set(key, most)
+    try:
+        yield
+    finally:
+        if most is not None:
+            spark.conf.set(key, before)
+
+
+# Columns whose many texts make dictionaries that are large, dear to look up and often given up. Their texts recur in
+# neighbouring rows, so plain ones compress as well, in less time.
+PLAIN_COLUMNS = ("source_file", "plan_name", "plan_id", "plan_sponsor_name", "issuer_name", "in_network_location", "allowed_amount_location")
+NO_DICTIONARY = "parquet.enable.dictionary#"
+COMPRESSION = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1"}
+
+
+def write_options(plain: Sequence[str] = PLAIN_COLUMNS) -> dict[str, str]:
+    """How flat rows are written as Parquet: quick compression, and no dictionaries of the ``plain`` columns."""
+    return COMPRESSION | {f"{NO_DICTIONARY}{c}": "false" for c in plain}
+
+
+def table_options(**others: str) -> str:
+    """``write_options`` and others as the options of a catalog table."""
+    return ", ".join(f"{literal(k)} {literal(v)}" for k, v in (write_options() | others).items())
+
+
+def replace_partitions(df: DataFrame, path: str, plain: Sequence[str] = PLAIN_COLUMNS) -> None:
+    """Write ``df``, replacing the dates it holds and keeping all others; ``plain`` as in :func:`write_options`.
 
     The files are published by the job's commit: a failing job leaves the old
     rows. The swap of several dates is not one transaction, though; plain
@@ -64,6 +95,7 @@ def replace_partitions(df: DataFrame, path: str) -> None:
     with open_writers(df.sparkSession):
         (
             df.write.mode("overwrite")
+            .options(**write_options(plain))
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(PARTITION_COLUMN)
             .parquet(path)
@@ -82,6 +114,23 @@ def packing_session(spark: SparkSession, target_bytes: int) -> SparkSession:
     return own
 
 
+MOST_GROUPS = 64
+
+
+def date_groups(sizes: Mapping[str, int], n: int) -> list[list[str]]:
+    """The dates in their order, cut into ``n`` groups of about the same size or fewer, and ``MOST_GROUPS`` at most.
+
+    A scan packs files by their size, whatever their date. Scans of a group each leave hardly a task with many dates.
+    """
+    n = max(1, min(n, MOST_GROUPS, len(sizes)))
+    total, before = max(1, sum(sizes.values())), 0
+    groups: dict[int, list[str]] = {}
+    for date in sorted(sizes):
+        groups.setdefault(min(n - 1, (2 * before + sizes[date]) * n // (2 * total)), []).append(date)  # by its middle
+        before += sizes[date]
+    return list(groups.values())
+
+
 def partition_dates(spark: SparkSession, path: str) -> list[str]:
     """The dates that ``path`` has a partition of; its folder alone is listed."""
     if not path_exists(spark, path):
@@ -151,7 +200,7 @@ def split_refused(df: DataFrame, stage: str) -> tuple[DataFrame, DataFrame, int]
     judged = df.withColumn("reason", refusals(df)).withColumn("refused", F.col("reason").isNotNull())
     judged = judged.observe(seen, F.count_if("refused").alias("refused"))
     with open_writers(df.sparkSession):
-        judged.write.partitionBy("refused").parquet(stage)
+        judged.write.options(**write_options()).partitionBy("refused").parquet(stage)
     stored = df.sparkSession.read.schema(judged.schema).parquet(stage)
     taken = stored.filter(~F.col("refused")).drop("refused", "reason")
     return taken, stored.filter("refused").drop("refused"), seen.get["refused"]
@@ -192,7 +241,7 @@ def create_table(spark: SparkSession, table: str, path: str | None = None, comme
     columns = ", ".join(f"{c.name} {c.type}" for c in TABLE_COLUMNS)
     ddl = (
         f"CREATE TABLE IF NOT EXISTS {quoted(table)} ({columns}, {PARTITION_COLUMN} date) "
-        f"USING parquet OPTIONS ({DYNAMIC[0]} '{DYNAMIC[1]}') PARTITIONED BY ({PARTITION_COLUMN})"
+        f"USING parquet OPTIONS ({table_options(**dict([DYNAMIC]))}) PARTITIONED BY ({PARTITION_COLUMN})"
     )
     if path is not None:
         ddl += f" LOCATION {literal(path)}"

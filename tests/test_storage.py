@@ -3,10 +3,12 @@
 import contextlib
 import io
 import json
+import uuid
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.functions import when
 from support import document, network, plan, spark_bag, write_document
 
 import __spark_entry__ as registered
@@ -14,6 +16,7 @@ from disclosure_spark import fixtures
 from disclosure_spark.operators import blobs, ledger, partials, quality, store, versions
 from disclosure_spark.operators.flatten import flatten
 from disclosure_spark.plans import explore, jobs
+from disclosure_spark.sources import tables
 from disclosure_spark.sources.tables import EMPTY, read_own_export, write_csv_export
 from disclosure_spark.workspace import arrow_uri
 
@@ -409,3 +412,35 @@ def test_exports_and_landed_json_are_compressed(spark, sf_dir, tmp_path):
     landed = [p for p in Path(fixtures.landed_json(spark, sf_dir)).rglob("*") if p.is_file() and not p.name.startswith(".")]
     assert landed and all(p.name.endswith("_index.json.gz") for p in landed)
     assert len({p.name for p in landed}) == len(landed)
+
+
+def test_the_table_is_made_in_one_pass(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(fixtures, "_key", lambda spark, sf_dir: ("table alone", sf_dir))
+    for step in ("stage_documents", "write_flat"):
+        monkeypatch.setattr(fixtures, step, lambda *a, **b: pytest.fail("no query asked for documents or flat rows"))
+    found = fixtures.index_files(spark, sf_dir).drop("loaded_at")
+    columns = sorted(found.columns)
+    expected = store.to_table_rows(flatten(fixtures.make_index_docs(spark, sf_dir), fixtures.PROCESSED_AT))
+    assert spark_bag(found.select(columns)) == spark_bag(expected.select(columns))
+
+
+def test_a_table_with_too_few_rows_is_found_out(spark, sf_dir):
+    path = fixtures.stored(spark, sf_dir).table
+    rows = fixtures.index_files(spark, sf_dir).count()
+    assert quality.verify_total(spark, path, rows) == rows
+    with pytest.raises(quality.CountMismatchError):
+        quality.verify_total(spark, path, rows + 1)
+    with pytest.raises(quality.EmptyResultError):
+        quality.verify_total(spark, path, 0)
+
+
+def test_flat_rows_have_no_dictionaries_of_identifiers(spark, sf_dir, tmp_path):
+    import pyarrow.parquet as pq
+
+    rows = fixtures.index_files(spark, sf_dir).limit(500).coalesce(1)
+    store.replace_partitions(rows, str(tmp_path / "table"))
+    file = next((tmp_path / "table").glob("*/*.parquet"))
+    columns = [pq.read_metadata(file).row_group(0).column(i) for i in range(len(store.TABLE_COLUMNS))]
+    assert all(c.compression == "ZSTD" for c in columns)
+    coded = {c.path_in_schema for c in columns if any("DICTIONARY" in e for e in c.encodings)}
+    assert "version" in coded and not coded & set(store.PLAIN_COLUMNS)
