@@ -67,7 +67,10 @@ def write_csv_export(files: DataFrame, path: str, max_rows: int = 1_000_000) ->
     """
     text = lambda name: F.col(name).cast("string")
     refused = F.raise_error(F.lit("a text is the sign by which readers know an empty one"))
-    columns = [F.when(text(c.name) == EMPTY, refused).otherwise(text(c.name)).alias(c.name) for c in TABLE_COLUMNS]
+    kinds = dict(files.dtypes)
+    # Only what is a text already may be the sign; looking at a date's text as well would make it twice.
+    checked = lambda name: F.when(text(name) == EMPTY, refused).otherwise(text(name)) if kinds[name] == "string" else text(name)
+    columns = [checked(c.name).alias(c.name) for c in TABLE_COLUMNS]
     (
         files.select(*columns)
         .write.option("header", True)

@@ -444,3 +444,12 @@ def test_flat_rows_have_no_dictionaries_of_identifiers(spark, sf_dir, tmp_path):
     assert all(c.compression == "ZSTD" for c in columns)
     coded = {c.path_in_schema for c in columns if any("DICTIONARY" in e for e in c.encodings)}
     assert "version" in coded and not coded & set(store.PLAIN_COLUMNS)
+
+
+def test_only_texts_of_an_export_are_compared_with_the_sign(spark, sf_dir, tmp_path, monkeypatch):
+    """Dates and timestamps cannot be it, and are made into text once."""
+    rows = fixtures.index_files(spark, sf_dir).limit(3)
+    seen = []
+    monkeypatch.setattr(tables.F, "when", lambda condition, value: seen.append(condition) or when(condition, value))
+    write_csv_export(rows, str(tmp_path / "csv"))
+    assert len(seen) == sum(c.type == "string" for c in store.TABLE_COLUMNS)
