@@ -85,12 +85,17 @@ def entity_like(files: DataFrame, text: str) -> DataFrame:
 
 
 def shared_plan_ids(files: DataFrame, n: int = 10) -> DataFrame:
-    """The ``n`` plan ids found in most source files, if in more than one."""
-    counts = files.groupBy("plan_id").agg(
-        F.count_distinct("source_file").alias("files"),
-        F.count_distinct("plan_sponsor_name").alias("sponsor_names"),
-    )
-    return counts.filter("files > 1").orderBy(F.desc("files"), "plan_id").limit(n)
+    """The ``n`` plan ids found in most source files, if in more than one.
+
+    Their order needs the files alone. The sponsors are counted in a second scan, of these ids, so that no sponsor of the others
+    is shuffled.
+    """
+    counts = files.groupBy("plan_id").agg(F.count_distinct("source_file").alias("files"))
+    most = counts.filter("files > 1").orderBy(F.desc("files"), "plan_id").limit(n)
+    named = files.select(F.col("plan_id").alias("_id"), "plan_sponsor_name")
+    of_most = most.join(named, F.col("plan_id").eqNullSafe(F.col("_id")))
+    found = of_most.groupBy("plan_id", "files").agg(F.count_distinct("plan_sponsor_name").alias("sponsor_names"))
+    return found.orderBy(F.desc("files"), "plan_id").limit(n)
 
 
 def sponsor_issuer_diff(files: DataFrame, n: int = 10) -> DataFrame:

@@ -453,3 +453,12 @@ def test_only_texts_of_an_export_are_compared_with_the_sign(spark, sf_dir, tmp_p
     monkeypatch.setattr(tables.F, "when", lambda condition, value: seen.append(condition) or when(condition, value))
     write_csv_export(rows, str(tmp_path / "csv"))
     assert len(seen) == sum(c.type == "string" for c in store.TABLE_COLUMNS)
+
+
+def test_shared_plan_ids_shuffles_no_sponsors(spark):
+    rows = [(p, f"f{f}", s) for p, n in (("a", 3), ("b", 3), ("c", 2), (None, 4), ("d", 1)) for f in range(n) for s in (None, f"s{f % 2}", "")]
+    files = spark.createDataFrame(rows + rows, "plan_id string, source_file string, plan_sponsor_name string")
+    found = explore.shared_plan_ids(files, 3)
+    assert [tuple(r) for r in found.collect()] == [(None, 4, 3), ("a", 3, 3), ("b", 3, 3)]
+    assert "Expand" not in explained(found, "extended"), "one count over all ids"
+    assert explore.shared_plan_ids(files.limit(0)).collect() == []
