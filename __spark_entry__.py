@@ -42,6 +42,7 @@ ENTITY = "Carrier-A"
 BLOBS = {"file_type": "in_network_rates", "max_size": 5000, "max_files": 200}
 REPLACED_YEAR = "1998"
 ONE_DATE = "1996-03-01"
+SMALL_FILES = 8  # of a date, before they are packed
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -166,7 +167,10 @@ def _compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dates in many small files, packed."""
     table = _fresh_name("compaction")
     versions.create_versioned(spark, table, run_path(spark, "compaction"))
-    counts = versions.publish(fixtures.index_files(spark, sf_dir).repartition(8), table)
+    rows = fixtures.index_files(spark, sf_dir)
+    stored, dates = quality.stored_counts(spark, fixtures.stored(spark, sf_dir).table).agg(F.sum("rows"), F.count("*")).first()
+    # Files of an eighth of a date's rows on average: the rows need no shuffle to be in small files.
+    counts = versions.publish(rows, table, max_rows=-(-stored // (SMALL_FILES * dates)))
     versions.compact(spark, table, list(counts))
     return _plain(versions.live_files(spark, table))
 

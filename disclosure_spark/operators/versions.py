@@ -15,13 +15,15 @@ import json
 import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import PARTITION_COLUMN, TABLE_COLUMNS
+from ..workspace import folder_bytes
 from .quality import CountMismatchError, EmptyResultError
-from .store import literal, open_writers, packing_session, quoted
+from .store import date_groups, file_rows, literal, open_writers, packing_session, quoted, table_options
 
 RUNS = "_runs"
 PART = 3000  # signs of a table property, as catalogs bound their length
@@ -39,7 +41,7 @@ def create_versioned(spark: SparkSession, table: str, path: str | None = None) -
     place = f" LOCATION {literal(path)}" if path else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {quoted(runs_table(table))} ({columns}, {PARTITION_COLUMN} date, run string) "
-        f"USING parquet PARTITIONED BY ({PARTITION_COLUMN}, run){place}"
+        f"USING parquet OPTIONS ({table_options()}) PARTITIONED BY ({PARTITION_COLUMN}, run){place}"
     )
     if not spark.catalog.tableExists(quoted(table)):
         _show(spark, table, {})
@@ -67,10 +69,10 @@ def _show(spark: SparkSession, table: str, runs: dict[str, str]) -> None:
     )
 
 
-def write_run(rows: DataFrame, table: str) -> str:
-    """Add the rows as a run that no reader sees yet; its name."""
+def write_run(rows: DataFrame, table: str, max_rows: int | None = None) -> str:
+    """Add the rows as a run that no reader sees yet, in files of ``max_rows`` at most; its name."""
     run = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-    with open_writers(rows.sparkSession):
+    with open_writers(rows.sparkSession), file_rows(rows.sparkSession, max_rows):
         rows.select(*NAMES, F.lit(run).alias("run")).write.mode("append").insertInto(quoted(runs_table(table)))
     return run
 
@@ -82,13 +84,15 @@ def run_counts(spark: SparkSession, table: str, run: str) -> dict[str, int]:
     return {str(r[PARTITION_COLUMN]): r["rows"] for r in counted.collect()}
 
 
-def publish(rows: DataFrame, table: str, *, dates: Sequence[str] | None = None, expected: dict[str, int] | None = None) -> dict[str, int]:
+def publish(
+    rows: DataFrame, table: str, *, dates: Sequence[str] | None = None, expected: dict[str, int] | None = None, max_rows: int | None = None
+) -> dict[str, int]:
     """Replace the dates of ``rows`` at once, and those in ``dates`` of which it has none; the rows of each.
 
-    ``expected``: rows of each date that must be there before anything is shown.
+    ``expected``: rows of each date that must be there before anything is shown. ``max_rows`` of a file.
     """
     spark = rows.sparkSession
-    run = write_run(rows, table)
+    run = write_run(rows, table, max_rows)
     counts = run_counts(spark, table, run)
     if not counts and not dates:
         raise EmptyResultError("no rows to publish")
@@ -122,12 +126,21 @@ def compact(spark: SparkSession, table: str, dates: Sequence[str], target_bytes:
     """Pack the small files of these dates into files of about ``target_bytes``; the rows of each date.
 
     The packed rows are a run of their own, which is shown once it has as many rows of each date as before. Nothing is shuffled:
-    Spark's scan packs files up to the size into a task, and a task writes one file a date.
+    Spark's scan packs files up to the size into a task, and a task writes one file a date. A scan does not look at the
+    files' dates, so there is one for each group of neighbouring dates (``operators.store.date_groups``).
     """
     before = {d: n for d, n in live_counts(spark, table).items() if d in set(map(str, dates))}
+    if not before:
+        return {}
     rows = packing_session(spark, target_bytes).table(quoted(table))
-    chosen = rows.filter(F.col(PARTITION_COLUMN).isin([F.to_date(F.lit(d)) for d in before]))
-    return publish(chosen, table, expected=before) if before else {}
+    groups = date_groups(before, -(-folder_bytes(spark, _location(spark, table)) // target_bytes))
+    parts = [rows.filter(F.col(PARTITION_COLUMN).isin([F.to_date(F.lit(d)) for d in group])) for group in groups]
+    return publish(reduce(DataFrame.unionByName, parts), table, expected=before)
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(runs_table(table))}").filter("col_name = 'Location'")
+    return described.first()["data_type"]
 
 
 def live_counts(spark: SparkSession, table: str) -> dict[str, int]:

@@ -446,6 +446,33 @@ def test_flat_rows_have_no_dictionaries_of_identifiers(spark, sf_dir, tmp_path):
     assert "version" in coded and not coded & set(store.PLAIN_COLUMNS)
 
 
+def test_small_files_are_packed_by_date(spark, sf_dir, tmp_path):
+    """No row is shuffled on the way into small files or out of them, and a date's files meet in one task."""
+    rows = fixtures.index_files(spark, sf_dir)
+    table = f"packed_{uuid.uuid4().hex}"
+    versions.create_versioned(spark, table, str(tmp_path / "runs"))
+    before = spark.conf.get("spark.sql.files.maxRecordsPerFile")
+    counts = versions.publish(rows, table, max_rows=20)
+    assert spark.conf.get("spark.sql.files.maxRecordsPerFile") == before
+    files = {str(r[0]): r["files"] for r in versions.live_files(spark, table).collect()}
+    assert all(files[d] >= n / 20 for d, n in counts.items()) and sum(files.values()) > 4 * len(files)
+    # Tasks of a fraction of the table: without a scan for each group of dates every task has files of most dates.
+    size = sum(p.stat().st_size for p in (tmp_path / "runs").rglob("*.parquet"))
+    assert versions.compact(spark, table, list(counts), target_bytes=size // 8) == counts
+    packed = [r["files"] for r in versions.live_files(spark, table).collect()]
+    assert sum(packed) <= 2 * len(packed)
+
+
+def test_date_groups():
+    sizes = {f"2024-01-{i:02d}": 10 for i in range(1, 31)}
+    assert store.date_groups(sizes, 3) == [sorted(sizes)[i : i + 10] for i in (0, 10, 20)]
+    assert store.date_groups(sizes, 1) == [sorted(sizes)]
+    assert len(store.date_groups({f"{i:05d}": 1 for i in range(1000)}, 500)) == store.MOST_GROUPS
+    hot = store.date_groups({"a": 1, "b": 1000, "c": 1}, 3)
+    assert [d for g in hot for d in g] == ["a", "b", "c"]
+    assert store.date_groups({"a": 0}, 5) == [["a"]]
+
+
 def test_only_texts_of_an_export_are_compared_with_the_sign(spark, sf_dir, tmp_path, monkeypatch):
     """Dates and timestamps cannot be it, and are made into text once."""
     rows = fixtures.index_files(spark, sf_dir).limit(3)
