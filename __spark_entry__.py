@@ -23,7 +23,6 @@ from disclosure_spark.operators import blobs, ledger, partials, quality, store,
 from disclosure_spark.operators.flatten import flatten, flatten_counts
 from disclosure_spark.plans import explore, jobs, profile
 from disclosure_spark.schemas import FLAT_NAMES, PARTITION_COLUMN, REQUIRED_NAMES
-from disclosure_spark.sources.documents import read_index_documents
 from disclosure_spark.sources.listing import read_listing
 from disclosure_spark.sources.tables import read_index_files, read_own_export, write_csv_export
 from disclosure_spark.workspace import run_path
@@ -107,7 +106,7 @@ def _fresh_name(name: str) -> str:
 def _flatten_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From JSON files: parsed once, staged by date, flattened."""
     stage = run_path(spark, "flatten_files")
-    documents = read_index_documents(spark, fixtures.landed_json(spark, sf_dir), "*.json.gz")
+    documents = jobs.dated_documents(spark, f"{fixtures.landed_json(spark, sf_dir)}/mrf/index", "*.json.gz")
     documents = documents.withColumn("source_file", F.regexp_replace("source_file", "[.]gz$", ""))  # the document's name
     jobs.stage_documents(documents.withColumn(jobs.STAGE_DATE, F.substring("source_file", 1, 10)), stage, by_date=True)
     dates, _ = jobs.document_dates(jobs.staged_documents(spark, stage))

@@ -102,15 +102,17 @@ def replace_partitions(df: DataFrame, path: str, plain: Sequence[str] = PLAIN_CO
         )
 
 
-def packing_session(spark: SparkSession, target_bytes: int) -> SparkSession:
-    """A session whose scans pack files into tasks up to a size, however many cores there are.
+def packing_session(spark: SparkSession, target_bytes: int, open_bytes: int = 0, all_cores: bool = False) -> SparkSession:
+    """A session whose scans pack files into tasks up to a size, a file counting ``open_bytes`` more than it has.
 
-    The settings are its own; those of ``spark`` stay as they are.
+    However many cores there are, unless ``all_cores`` asks for tasks for each of them. The settings are its own; those of
+    ``spark`` stay as they are.
     """
     own = spark.newSession()
     own.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
-    own.conf.set("spark.sql.files.openCostInBytes", "0")
-    own.conf.set("spark.sql.files.minPartitionNum", "1")
+    own.conf.set("spark.sql.files.openCostInBytes", str(open_bytes))
+    if not all_cores:
+        own.conf.set("spark.sql.files.minPartitionNum", "1")
     return own
 
 

@@ -28,11 +28,13 @@ from ..operators.quality import (
     verify_counts,
 )
 from ..operators.store import (
+    date_groups,
     drop_dates,
     drop_table_dates,
     emptied_dates,
     empty_rows,
     open_writers,
+    packing_session,
     partition_dates,
     quoted,
     record_dates,
@@ -46,11 +48,15 @@ from ..schemas import CORRUPT_COLUMN, FLAT_NAMES, INDEX_SCHEMA
 from ..sources.documents import passed_over, read_index_documents
 from ..sources.listing import read_landed, read_listing
 from ..sources.tables import read_index_files
-from ..workspace import delete_path, folder_bytes, path_exists, run_path
+from ..workspace import delete_path, folder_bytes, folder_names, path_exists, run_path
 
 STAGE_ROW_GROUP_BYTES = 16 << 20
 STAGE_DATE = "staged_date"
-LARGE_DATE_BYTES = 256 << 20  # staged bytes from which a date is flattened without a shuffle
+# Staged bytes from which a date is flattened without a shuffle: a task of the scan (128 MB by an open cost of 4 MB a file) then
+# has fewer dates than files that it keeps open (operators.store.OPEN_FILES).
+LARGE_DATE_BYTES = 8 << 20
+DOCUMENT_TASK_BYTES = 32 << 20  # of files of documents, often compressed, that a task parses
+DOCUMENT_OPEN_BYTES = 64 << 10  # that a file counts more than it has
 MOST_DOCUMENT_ROWS = 10_000_000  # of a document that one task may write
 
 
@@ -200,6 +206,20 @@ def _date() -> Column:
     return F.date_format(prefix, "yyyy-MM-dd")
 
 
+def dated_documents(spark: SparkSession, folder: str, pattern: str = "*.json") -> DataFrame:
+    """The documents below a folder with a folder for each date, such that a task has documents of few dates.
+
+    One scan packs files by size, whatever their date, and a task of many small files would then write a staged file for each
+    of many dates: as many files as there were. So there is a scan for each group of neighbouring dates.
+    """
+    sizes = {name: folder_bytes(spark, f"{folder}/{name}") for name in folder_names(spark, folder)}
+    groups = date_groups(sizes, -(-sum(sizes.values()) // DOCUMENT_TASK_BYTES))
+    if not groups:
+        raise NoDocumentsError(f"no dates below {folder}")
+    own = packing_session(spark, DOCUMENT_TASK_BYTES, DOCUMENT_OPEN_BYTES, all_cores=True)
+    return reduce(DataFrame.unionByName, [read_index_documents(own, [f"{folder}/{d}" for d in group], pattern) for group in groups])
+
+
 def document_dates(documents: DataFrame) -> tuple[dict[str, tuple[int, int]], int]:
     """Of each date in the names of documents (few) all flat rows and the most of one document; how many documents have none."""
     found = documents.groupBy(_date().alias("date")).agg(

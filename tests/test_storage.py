@@ -1,6 +1,7 @@
 """The ledger, versioned tables, quarantine, staging by date, counts from footers, exports and partials."""
 
 import contextlib
+import gzip
 import io
 import json
 import uuid
@@ -489,3 +490,36 @@ def test_shared_plan_ids_shuffles_no_sponsors(spark):
     assert [tuple(r) for r in found.collect()] == [(None, 4, 3), ("a", 3, 3), ("b", 3, 3)]
     assert "Expand" not in explained(found, "extended"), "one count over all ids"
     assert explore.shared_plan_ids(files.limit(0)).collect() == []
+
+
+def test_a_task_of_documents_has_few_dates(spark, tmp_path, monkeypatch):
+    dates = [f"2024-{m:02d}-01" for m in range(1, 13)]
+    for d in dates:
+        for i in range(20):
+            write_document(tmp_path / "raw" / d, f"{d}_{i}_index.json", document(STRUCTURE))
+    monkeypatch.setattr(jobs, "DOCUMENT_TASK_BYTES", 8 << 10)
+    documents = jobs.dated_documents(spark, str(tmp_path / "raw"))
+    assert documents.filter("reporting_entity_name IS NOT NULL").count() == 240
+    stage = str(tmp_path / "stage")
+    jobs.stage_documents(documents.withColumn(jobs.STAGE_DATE, F.substring("source_file", 1, 10)), stage, by_date=True)
+    of_task = {}
+    for p in Path(stage).glob("*/*.parquet"):
+        of_task.setdefault(p.name.split("-")[1], set()).add(p.parent.name)
+    assert len({d for of in of_task.values() for d in of}) == 12
+    assert max(map(len, of_task.values())) <= 2, "neighbouring dates only"
+    with pytest.raises(quality.NoDocumentsError):
+        (tmp_path / "empty").mkdir()
+        jobs.dated_documents(spark, str(tmp_path / "empty"))
+
+
+def test_files_of_several_batches(spark, tmp_path):
+    rows = [(f"d/{'ab'[i % 2]}.json{'.gz' * (i % 2)}", i, f"é{i}" if i % 5 else "") for i in range(60)]
+    files = spark.createDataFrame(rows, "path string, pos int, text string").selectExpr("*", "'[' AS before", "', ' AS between", "']\n' AS after")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        fixtures.write_files(files, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for name, read in (("a.json", Path.read_bytes), ("b.json.gz", lambda p: gzip.decompress(p.read_bytes()))):
+        expected = "[" + ", ".join(t for p, _, t in rows if p == f"d/{name}") + "]\n"
+        assert read(tmp_path / "d" / name).decode() == expected
