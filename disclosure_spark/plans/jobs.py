@@ -52,6 +52,7 @@ from ..workspace import delete_path, folder_bytes, folder_names, path_exists, ru
 
 STAGE_ROW_GROUP_BYTES = 16 << 20
 STAGE_DATE = "staged_date"
+STAGE_ROWS = "staged_rows"  # how many flat rows a staged document yields, so that counting them does not read it
 # Staged bytes from which a date is flattened without a shuffle: a task of the scan (128 MB by an open cost of 4 MB a file) then
 # has fewer dates than files that it keeps open (operators.store.OPEN_FILES).
 LARGE_DATE_BYTES = 8 << 20
@@ -222,9 +223,8 @@ def dated_documents(spark: SparkSession, folder: str, pattern: str = "*.json") -
 
 def document_dates(documents: DataFrame) -> tuple[dict[str, tuple[int, int]], int]:
     """Of each date in the names of documents (few) all flat rows and the most of one document; how many documents have none."""
-    found = documents.groupBy(_date().alias("date")).agg(
-        F.count("*").alias("documents"), F.sum(rows_of_document()).alias("rows"), F.max(rows_of_document()).alias("most")
-    )
+    rows = F.col(STAGE_ROWS) if STAGE_ROWS in documents.columns else rows_of_document()
+    found = documents.groupBy(_date().alias("date")).agg(F.count("*").alias("documents"), F.sum(rows).alias("rows"), F.max(rows).alias("most"))
     by_date = {row["date"]: row for row in found.collect()}
     undated = by_date.pop(None, None)
     return {d: (row["rows"] or 0, row["most"] or 0) for d, row in by_date.items()}, undated["documents"] if undated else 0
@@ -234,8 +234,11 @@ def stage_documents(documents: DataFrame, stage: str, by_date: bool = False) ->
     """Keep nested documents as Parquet, in row groups small enough to share out.
 
     A document becomes many rows, so the tasks that flatten should be able to
-    take less of the copy than a row group of the usual size. ``by_date`` puts each date into a folder of its own.
+    take less of the copy than a row group of the usual size. ``by_date`` puts each date into a folder of its own, and
+    notes the rows of each document.
     """
+    if by_date:
+        documents = documents.withColumn(STAGE_ROWS, rows_of_document())
     writer = documents.write.mode("overwrite").option("parquet.block.size", STAGE_ROW_GROUP_BYTES)
     with open_writers(documents.sparkSession):
         (writer.partitionBy(STAGE_DATE) if by_date else writer).parquet(stage)
@@ -243,7 +246,7 @@ def stage_documents(documents: DataFrame, stage: str, by_date: bool = False) ->
 
 def staged_documents(spark: SparkSession, stage: str, dates: Sequence[str] | None = None) -> DataFrame:
     """The documents of a stage by date; of these dates only, whose folders alone are then listed."""
-    reader = spark.read.schema(f"source_file string, {INDEX_SCHEMA}, {STAGE_DATE} string").option("basePath", stage)
+    reader = spark.read.schema(f"source_file string, {INDEX_SCHEMA}, {STAGE_ROWS} bigint, {STAGE_DATE} string").option("basePath", stage)
     return reader.parquet(stage) if dates is None else reader.parquet(*[f"{stage}/{STAGE_DATE}={d}" for d in dates])
 
 

@@ -523,3 +523,16 @@ def test_files_of_several_batches(spark, tmp_path):
     for name, read in (("a.json", Path.read_bytes), ("b.json.gz", lambda p: gzip.decompress(p.read_bytes()))):
         expected = "[" + ", ".join(t for p, _, t in rows if p == f"d/{name}") + "]\n"
         assert read(tmp_path / "d" / name).decode() == expected
+
+
+def test_dates_of_staged_documents_are_counted_without_reading_them(spark, sf_dir, tmp_path):
+    docs = fixtures.index_docs(spark, sf_dir)
+    jobs.stage_documents(docs.withColumn(jobs.STAGE_DATE, F.substring("source_file", 1, 10)), str(tmp_path / "stage"), by_date=True)
+    staged = jobs.staged_documents(spark, str(tmp_path / "stage"))
+    seen = []
+    own_agg = type(staged.groupBy()).agg
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(staged.groupBy()), "agg", lambda self, *a: seen.append(own_agg(self, *a)) or seen[-1])
+        found = jobs.document_dates(staged)
+    assert found == jobs.document_dates(docs)
+    assert "reporting_structure" not in explained(seen[0]).partition("ReadSchema")[2]
